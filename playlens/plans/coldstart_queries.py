@@ -1 +1,162 @@
-"""Registered queries."""
+"""Registered queries: cold-start training table, split, scaling, 1-NN, patched factors, linear grid."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from playlens.operators import coldstart, features
+from playlens.plans.feature_queries import FEATURE_CTES
+from playlens.plans.oracle import with_fixtures
+from playlens.plans.registry import query
+from playlens.sources import fixtures as fx
+
+ALPHAS = [10.0 ** e for e in range(-3, 3)]   # logspace(-3, 2, 6)
+LASSO_MAX_ITER = 2000
+FACTOR_HEAD = 3                              # leading factor columns shown wide
+
+COLD_CTES = FEATURE_CTES + [
+    ("keep_idx", "SELECT term, CAST(ROW_NUMBER() OVER (ORDER BY term) AS INTEGER) AS idx FROM keep_terms"),
+    ("xl", """
+        SELECT track_id, 0 AS pos, COALESCE(duration, 0.0) AS value FROM songs
+        UNION ALL SELECT track_id, 1, artist_familiarity FROM songs
+        UNION ALL SELECT track_id, 2, artist_hotttnesss FROM songs
+        UNION ALL SELECT track_id, 3, CAST(year AS DOUBLE) FROM songs
+        UNION ALL SELECT s.track_id, 3 + k.idx, CASE WHEN t.term IS NULL THEN 0.0 ELSE 1.0 END
+        FROM songs s CROSS JOIN keep_idx k LEFT JOIN top2 t ON t.artist_id = s.artist_id AND t.term = k.term"""),
+    ("tt", "SELECT v.id, s.track_id, v.features FROM item_factors v JOIN songs s ON v.id = s.track_id"),
+    ("sp", f"SELECT id, track_id, features, (id * {coldstart.SPLIT_MULTIPLIER}) % 1000 < 800 AS is_train FROM tt"),
+    ("xs", "SELECT sp.id, sp.is_train, xl.pos, xl.value FROM sp JOIN xl ON xl.track_id = sp.track_id"),
+    ("mom", "SELECT pos, AVG(value) AS mu, STDDEV_POP(value) AS sd FROM xs WHERE is_train GROUP BY pos"),
+    ("sc", """SELECT xs.id, xs.is_train, xs.pos, (xs.value - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END AS z
+              FROM xs JOIN mom USING (pos)"""),
+    ("dist", """SELECT q.id AS qid, r.id AS rid, SQRT(SUM((q.z - r.z) * (q.z - r.z))) AS dist
+                FROM sc q JOIN sc r ON q.pos = r.pos WHERE NOT q.is_train AND r.is_train GROUP BY q.id, r.id"""),
+    ("nn", """SELECT qid AS id, rid AS neighbor_id, dist FROM (
+                SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY ROUND(dist, 9), rid) AS rn FROM dist) d
+              WHERE rn = 1"""),
+    ("patched", """SELECT id, features FROM sp WHERE is_train
+                   UNION ALL SELECT nn.id, sp.features FROM nn JOIN sp ON sp.id = nn.neighbor_id"""),
+    ("cells", """SELECT nn.id, generate_subscripts(t.features, 1) AS pos,
+                        CAST(unnest(t.features) AS DOUBLE) AS y, CAST(unnest(p.features) AS DOUBLE) AS p
+                 FROM nn JOIN sp t ON t.id = nn.id JOIN sp p ON p.id = nn.neighbor_id"""),
+    ("per_pos", """SELECT pos, SUM((y - p) * (y - p)) AS ss_res, SUM((y - m) * (y - m)) AS ss_tot, COUNT(*) AS n
+                   FROM (SELECT *, AVG(y) OVER (PARTITION BY pos) AS m FROM cells) c GROUP BY pos"""),
+]
+
+
+def _inputs(spark, sf_dir):
+    songs = fx.songs(spark, sf_dir)
+    top2 = features.artist_top_terms(fx.artist_term(spark, sf_dir), 2)
+    vectors = features.multi_hot_vectors(songs, top2)
+    return fx.item_factors(spark, sf_dir), coldstart.identity_dictionary(songs), vectors
+
+
+def _prepared(spark, sf_dir):
+    return coldstart.prepare(*_inputs(spark, sf_dir))
+
+
+@query("coldstart_training", with_fixtures("""
+    SELECT tt.id, tt.track_id, COALESCE(s.duration, 0.0) AS duration, s.year,
+           (SELECT COUNT(*) FROM top2 t JOIN keep_terms k ON t.term = k.term WHERE t.artist_id = s.artist_id) AS n_terms
+    FROM tt JOIN songs s ON s.track_id = tt.track_id""", COLD_CTES))
+def coldstart_training(spark, sf_dir):
+    table = coldstart.dedup_by_id(coldstart.training_table(*_inputs(spark, sf_dir)))
+    onehot = F.slice("x", 5, F.greatest(F.size("x") - 4, F.lit(1)))
+    return table.select(
+        "id", "track_id", F.col("x")[0].alias("duration"), F.col("x")[3].cast("int").alias("year"),
+        F.aggregate(onehot, F.lit(0.0), lambda a, v: a + v).cast("bigint").alias("n_terms"))
+
+
+@query("holdout_split", with_fixtures("SELECT id, is_train FROM sp", COLD_CTES))
+def holdout_split(spark, sf_dir):
+    table = coldstart.training_table(*_inputs(spark, sf_dir))
+    return table.select("id", coldstart.in_train("id").alias("is_train"))
+
+
+@query("scaled_features", with_fixtures(
+    "SELECT id, CAST(pos AS INTEGER) AS pos, ROUND(z, 6) AS z FROM sc", COLD_CTES))
+def scaled_features(spark, sf_dir):
+    train, holdout = _prepared(spark, sf_dir)
+    both = train.select("id", "x").unionByName(holdout.select("id", "x"))
+    return both.select("id", F.posexplode("x").alias("pos", "z")).withColumn("z", F.round("z", 6))
+
+
+@query("knn_factors", with_fixtures("SELECT id, neighbor_id, ROUND(dist, 6) AS dist FROM nn", COLD_CTES))
+def knn_factors(spark, sf_dir):
+    train, holdout = _prepared(spark, sf_dir)
+    pred = coldstart.knn_predict(train, holdout)
+    return pred.select("id", "neighbor_id", F.round("dist", 6).alias("dist"))
+
+
+@query("patched_factors", with_fixtures("""
+    SELECT id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS pos, CAST(unnest(features) AS DOUBLE) AS value
+    FROM patched""", COLD_CTES))
+def patched_factors(spark, sf_dir):
+    train, holdout = _prepared(spark, sf_dir)
+    v_new = coldstart.patched_factors(train, coldstart.knn_predict(train, holdout))
+    return v_new.select("id", F.posexplode("features").alias("pos", "value")).withColumn(
+        "value", F.col("value").cast("double"))
+
+
+@query("knn_mse", with_fixtures(
+    "SELECT ROUND(SUM(ss_res) / SUM(n), 6) AS mse, ROUND(SQRT(SUM(ss_res) / SUM(n)), 6) AS rmse FROM per_pos", COLD_CTES))
+def knn_mse(spark, sf_dir):
+    train, holdout = _prepared(spark, sf_dir)
+    return coldstart.knn_errors(coldstart.knn_predict(train, holdout)).select("mse", "rmse")
+
+
+@query("knn_r2", with_fixtures("""
+    SELECT ROUND(AVG(CASE WHEN ss_tot > 0 THEN 1 - ss_res / ss_tot WHEN ss_res = 0 THEN 1.0 ELSE 0.0 END), 6) AS r2
+    FROM per_pos""", COLD_CTES))
+def knn_r2(spark, sf_dir):
+    train, holdout = _prepared(spark, sf_dir)
+    return coldstart.knn_errors(coldstart.knn_predict(train, holdout)).select("r2")
+
+
+@query("gram_matrix", with_fixtures("""
+    SELECT CAST(a.pos AS INTEGER) AS i, CAST(b.pos AS INTEGER) AS j, ROUND(SUM(a.z * b.z), 6) AS value
+    FROM sc a JOIN sc b ON a.id = b.id AND a.is_train AND b.is_train
+    GROUP BY a.pos, b.pos""", COLD_CTES))
+def gram_matrix(spark, sf_dir):
+    """X'X of the standardised train features, from the distributed sufficient statistics."""
+    train, _ = _prepared(spark, sf_dir)
+    stats = coldstart.sufficient_statistics(train)
+    return stats.filter(F.col("block") == "xx").select("i", "j", F.round("value", 6).alias("value"))
+
+
+@query("ridge_grid")
+def ridge_grid(spark, sf_dir):
+    """Ridge for alpha in logspace(-3, 2, 6): holdout MSE, RMSE, R2 (one statistics pass)."""
+    train, holdout = _prepared(spark, sf_dir)
+    return coldstart.linear_grid(train, holdout, ALPHAS, ("ridge",))
+
+
+@query("lasso_grid")
+def lasso_grid(spark, sf_dir):
+    """Lasso for alpha in logspace(-3, 2, 6), max_iter 2000: holdout MSE, RMSE, R2."""
+    train, holdout = _prepared(spark, sf_dir)
+    return coldstart.linear_grid(train, holdout, ALPHAS, ("lasso",), LASSO_MAX_ITER)
+
+
+@query("factor_head_cols", with_fixtures(
+    "SELECT id, " + ", ".join(f"CAST(features[{i + 1}] AS DOUBLE) AS f{i}" for i in range(FACTOR_HEAD))
+    + " FROM item_factors"))
+def factor_head_cols(spark, sf_dir):
+    v = fx.item_factors(spark, sf_dir)
+    return v.select("id", *[F.col("features")[i].cast("double").alias(f"f{i}") for i in range(FACTOR_HEAD)])
+
+
+@query("factor_relist", with_fixtures("""
+    SELECT id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS pos, CAST(unnest(features) AS DOUBLE) AS value
+    FROM item_factors"""))
+def factor_relist(spark, sf_dir):
+    """Factor list -> wide columns -> long (melt) -> list per id in position order -> rows."""
+    v = fx.item_factors(spark, sf_dir)
+    width = v.select(F.max(F.size("features"))).first()[0] or 0  # schema width: factor rank
+    wide = v.select("id", *[F.col("features")[i].alias(f"f{i}") for i in range(width)])
+    long = wide.unpivot(["id"], [f"f{i}" for i in range(width)], "variable", "value")
+    long = long.withColumn("pos", F.substring("variable", 2, 10).cast("int"))
+    relisted = long.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_l"))
+    back = relisted.select("id", F.transform("_l", lambda s: s["value"]).alias("features"))
+    return back.select("id", F.posexplode("features").alias("pos", "value")).withColumn(
+        "value", F.col("value").cast("double"))
