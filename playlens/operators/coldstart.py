@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from playlens.operators.metrics import multi_output_errors
 from playlens.operators.recommend import _matrix, nearest_neighbour
+from playlens.session import ensure_checkpoint_dir
 
 # Holdout rule: an id is in train when (id * 2654435761) mod 1000 < 800 (Knuth's multiplicative
 # hash; exact in BIGINT for 32-bit ids).
@@ -83,10 +84,13 @@ def standardise(df: DataFrame, stats: DataFrame, x_col: str = "x", out_col: str
 
 def prepare(factors: DataFrame, dictionary: DataFrame, vectors: DataFrame, train_share: float = 0.8):
     """Training table split into (train, holdout), both standardised with the train statistics."""
-    table = dedup_by_id(training_table(factors, dictionary, vectors))
-    train, holdout = split(table, train_share)
-    stats = scaler_stats(train)
-    return standardise(train, stats), standardise(holdout, stats)
+    table = dedup_by_id(training_table(factors, dictionary, vectors)).withColumn("_train", in_train("id", train_share))
+    stats = scaler_stats(table.filter("_train"))
+    # Materialise the standardised table once (reliable checkpoint in the shared folder): the
+    # learners read it several times (block sizing, both sides of the search, statistics).
+    ensure_checkpoint_dir(table.sparkSession)
+    scaled = standardise(table, stats).checkpoint(eager=True)
+    return scaled.filter("_train").drop("_train"), scaled.filter(~F.col("_train")).drop("_train")
 
 
 def knn_predict(train: DataFrame, holdout: DataFrame, block_rows: int = 4096) -> DataFrame:
