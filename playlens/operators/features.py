@@ -49,8 +49,8 @@ def artist_top_term_strict(artist_term: DataFrame) -> DataFrame:
 def term_retention(artist_term: DataFrame) -> DataFrame:
     """Rows kept by the max-count rule vs distinct artists (they differ when top terms tie)."""
     kept = artist_top_terms(artist_term, 1).agg(F.count("*").alias("n_rows_kept"))
-    artists = artist_term.agg(F.countDistinct("artist_id").alias("n_artists"))
-    return kept.join(artists)  # two one-row frames
+    artists = artist_term.agg(F.countDistinct("artist_id")).scalar()
+    return kept.select("n_rows_kept", artists.alias("n_artists"))
 
 
 def term_long_tail(top_terms: DataFrame) -> DataFrame:
