@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from playlens.sources.tables import read_table
+from playlens.sources.tables import read_table, spread
 
 # Fixed split rules of the fixtures: which orders feed train or validation, which embedding rows
 # are user or item factors, and which users count as validation users.
@@ -128,7 +128,7 @@ def tid_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lyrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts per document over whole texts (split on single spaces, empty tokens dropped)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     words = docs.select(F.col("doc_id").alias("track_id"), F.explode(F.split("text", " ")).alias("word"))
     return words.filter(F.col("word") != "").groupBy("track_id", "word").agg(F.count("*").alias("count"))
 

@@ -25,6 +25,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan has fewer partitions than cores.
+
+    A single unsplittable file (one Parquet row group) is read by one task; heavy per-row work on
+    it (splitting whole texts into words) then runs on one core. Inputs already split into at least
+    ``defaultParallelism`` partitions are returned unchanged, so large inputs pay no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_parquet_dir(spark: SparkSession, path: str) -> DataFrame:
     """A directory of Parquet part files read as one table (pandas-concat of a glob, done by Spark)."""
     return spark.read.parquet(path)
