@@ -25,6 +25,17 @@ def item_dictionary(df: DataFrame, item_col: str = "track_id", out_col: str = "i
     return df.select(item_col).distinct().withColumn(out_col, hash_id(item_col))
 
 
+def dense_ids(df: DataFrame, id_col: str, out_col: str = "dense_id") -> DataFrame:
+    """Distinct ids numbered 1..n in id order: a collision-free alternative to hash ids.
+
+    Same values as ``dense_rank() OVER (ORDER BY id)``, computed by ``positions`` (range sort, per
+    task numbering, partition offsets) instead of a window that puts every id in one task.
+    """
+    from playlens.functions.positions import positions
+
+    return positions(df.select(id_col).distinct(), [F.col(id_col).asc()], name=out_col)
+
+
 def hash_audit(ids: DataFrame, id_col: str, hash_col: str | None = None) -> DataFrame:
     """One row: distinct ids, distinct hashes, hashes shared by more than one id, ids involved.
 

@@ -49,6 +49,11 @@ def dedup_by_id(df: DataFrame, id_col: str = "id", survivor_col: str = "track_id
     return best.select(id_col, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
+def one_per_key(df: DataFrame, key_col: str, survivor_col: str) -> DataFrame:
+    """First row per key in ``survivor_col`` order (drop_duplicates(key) with a fixed survivor)."""
+    return dedup_by_id(df, key_col, survivor_col)
+
+
 def in_train(id_col: str = "id", train_share: float = 0.8) -> Column:
     bucket = F.pmod(F.col(id_col) * F.lit(SPLIT_MULTIPLIER), F.lit(SPLIT_BUCKETS))
     return bucket < F.lit(int(round(train_share * SPLIT_BUCKETS)))

@@ -126,13 +126,20 @@ def share_at_most(usage: DataFrame, value_col: str = "unique_plays", max_value:
     )
 
 
-def quantiles(df: DataFrame, value_col: str, probs: list[float], out_col: str = "value") -> DataFrame:
-    """Exact quantiles with linear interpolation (NumPy's default), nulls ignored; one row per p.
-
-    Spark's ``percentile`` keeps a value -> frequency map, so its memory follows the number of
-    distinct values, not the number of rows.
+def quantiles(df: DataFrame, value_col: str, probs: list[float], out_col: str = "value",
+              approx_accuracy: int | None = None) -> DataFrame:
+    """Quantiles, nulls ignored; one row per p.
+
+    Exact by default, with linear interpolation (NumPy's default). Spark's ``percentile`` keeps a
+    value -> frequency map, so its memory follows the number of distinct values, not the number of
+    rows. With ``approx_accuracy``, ``percentile_approx`` (a mergeable sketch) returns actual
+    values within 1/accuracy rank error.
     """
-    arr = F.percentile(F.col(value_col), F.array(*[F.lit(float(p)) for p in probs]))
+    probs_col = F.array(*[F.lit(float(p)) for p in probs])
+    if approx_accuracy:
+        arr = F.percentile_approx(F.col(value_col), probs_col, approx_accuracy).cast("array<double>")
+    else:
+        arr = F.percentile(F.col(value_col), probs_col)
     row = df.agg(arr.alias("_q"))
     return row.select(
         F.posexplode(F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("_q").alias("v")))

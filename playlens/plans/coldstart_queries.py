@@ -160,3 +160,16 @@ def factor_relist(spark, sf_dir):
     back = relisted.select("id", F.transform("_l", lambda s: s["value"]).alias("features"))
     return back.select("id", F.posexplode("features").alias("pos", "value")).withColumn(
         "value", F.col("value").cast("double"))
+
+
+@query("factor_dedup", with_fixtures("""
+    SELECT artist_id, MIN(track_id) AS track_id, CAST(arg_min(features[1], track_id) AS DOUBLE) AS f0
+    FROM (SELECT s.artist_id, s.track_id, v.features FROM item_factors v JOIN songs s ON v.id = s.track_id) j
+    GROUP BY artist_id"""))
+def factor_dedup(spark, sf_dir):
+    """Factor rows fanned out to artists (several tracks each), one survivor per artist: lowest track."""
+    songs = fx.songs(spark, sf_dir).select("track_id", "artist_id")
+    joined = fx.item_factors(spark, sf_dir).join(songs, F.col("id") == F.col("track_id")).select(
+        "artist_id", "track_id", "features")
+    kept = coldstart.one_per_key(joined, "artist_id", "track_id")
+    return kept.select("artist_id", "track_id", F.col("features")[0].cast("double").alias("f0"))

@@ -194,3 +194,9 @@ def train_users_in_val_inner(spark, sf_dir):
 def users_in_val_count(spark, sf_dir):
     rows = downsample.restrict_to_users_repeated(fx.train(spark, sf_dir), fx.val(spark, sf_dir))
     return rows.agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
+
+
+@query("item_dense_ids", with_fixtures(
+    "SELECT track_id, CAST(DENSE_RANK() OVER (ORDER BY track_id) AS BIGINT) AS dense_id FROM (SELECT DISTINCT track_id FROM train) t"))
+def item_dense_ids(spark, sf_dir):
+    return keys.dense_ids(fx.train(spark, sf_dir), "track_id")
