@@ -9,6 +9,8 @@ from playlens.functions.broadcast import bounded_broadcast
 from playlens.functions.keys import with_hash_ids
 from playlens.operators.stats import item_totals, running_share
 
+REPEAT_CHUNK = 65536  # copies generated per array in the fan-out repeat
+
 
 def items_by_share(df: DataFrame, cutoff: float, item_col: str = "track_id", count_col: str = "count") -> DataFrame:
     """Per-item totals with their running row share (RANGE peers), keeping share <= cutoff."""
@@ -77,4 +79,9 @@ def restrict_to_users_repeated(train: DataFrame, val: DataFrame, user_col: str =
     """
     per_user = val.groupBy(user_col).agg(F.count("*").alias("_n"))
     joined = train.join(per_user, user_col)
-    return joined.select(*train.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")).drop("_copy")
+    # Repeat in two levels (chunks of REPEAT_CHUNK copies) so no generated array grows with a
+    # heavy user's validation count.
+    n = F.col("_n")
+    chunks = joined.select(*train.columns, "_n", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / REPEAT_CHUNK))).alias("_c"))
+    size = F.least(F.lit(REPEAT_CHUNK), n - F.col("_c") * REPEAT_CHUNK)
+    return chunks.select(*train.columns, F.explode(F.sequence(F.lit(1), size.cast("long"))).alias("_copy")).drop("_copy")
