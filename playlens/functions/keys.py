@@ -10,7 +10,9 @@ def hash_id(col: str | Column) -> Column:
     """Spark ``hash`` (Murmur3 x86 32-bit, seed 42) as the integer id ALS needs.
 
     The hash of a BIGINT, an INT and a STRING with the same digits differ, so a key column must keep
-    one type everywhere it is hashed.
+    one type everywhere it is hashed. BIGINT keys in [0, 2^32) never collide (with the high word 0,
+    every Murmur3 step is invertible on 32 bits); string keys collide at the birthday rate,
+    about n^2 / 2^33 pairs for n keys, which ``hash_audit`` counts.
     """
     return F.hash(F.col(col) if isinstance(col, str) else col)
 

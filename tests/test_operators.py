@@ -159,3 +159,16 @@ def test_parquet_and_csv_round_trip(spark, tmp_path):
     assert again.count() == 50
     sinks.write_partitioned(df.withColumn("quartile", F.col("track_id") % 4), str(tmp_path / "part"), "quartile")
     assert tables.read_parquet_dir(spark, str(tmp_path / "part")).count() == 50
+
+
+def test_real_hash_collisions_are_found(spark):
+    # 300k string ids (the reference's key type): about 300k^2 / 2^33 = 10 colliding pairs expected.
+    # (BIGINT ids below 2^32 cannot collide: with the high word 0 every Murmur3 step is invertible.)
+    ids = spark.range(0, 300_000).select(F.concat(F.lit("TR"), F.col("id").cast("string")).alias("track_id"))
+    pairs = keys.hash_collisions(ids, "track_id").toPandas()
+    assert len(pairs) >= 2
+    assert (pairs.groupby("hash_id").size() >= 2).all()
+    audit = keys.hash_audit(ids, "track_id").first()
+    assert audit.n_ids == 300_000
+    assert audit.n_colliding_ids == len(pairs)
+    assert audit.n_hashes == 300_000 - (len(pairs) - pairs["hash_id"].nunique())
