@@ -172,3 +172,27 @@ def test_real_hash_collisions_are_found(spark):
     assert audit.n_ids == 300_000
     assert audit.n_colliding_ids == len(pairs)
     assert audit.n_hashes == 300_000 - (len(pairs) - pairs["hash_id"].nunique())
+
+
+def test_lasso_and_ridge_match_spark_ml_linear_regression(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import LinearRegression
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(200, 5))
+    y = x @ np.array([1.5, 0.0, -2.0, 0.3, 0.0]) + rng.normal(scale=0.5, size=200) + 1.0
+    df = spark.createDataFrame([(x[i].tolist(), [float(y[i])], float(y[i])) for i in range(200)],
+                               "x array<double>, features array<double>, label double")
+    mom = coldstart.centred_moments(coldstart.sufficient_statistics(df))
+    data = df.select(array_to_vector("x").alias("vec"), "label")
+    alpha = 0.1
+    wl, bl = coldstart.lasso_fit(mom, alpha)
+    lasso = LinearRegression(featuresCol="vec", elasticNetParam=1.0, regParam=alpha, standardization=False,
+                             tol=1e-12, maxIter=1000).fit(data)
+    assert np.allclose(wl[:, 0], lasso.coefficients.toArray(), atol=1e-4)
+    assert bl[0] == pytest.approx(lasso.intercept, abs=1e-4)
+    # Ridge: alpha on the summed loss equals regParam = alpha / n * std_pop(y) in Spark's scaled loss.
+    wr, br = coldstart.ridge_fit(mom, 5.0)
+    ridge = LinearRegression(featuresCol="vec", elasticNetParam=0.0, regParam=5.0 / 200 * float(np.std(y)),
+                             standardization=False, solver="normal").fit(data)
+    assert np.allclose(wr[:, 0], ridge.coefficients.toArray(), atol=1e-6)
