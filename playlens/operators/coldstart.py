@@ -81,10 +81,11 @@ def scaler_stats(train: DataFrame, x_col: str = "x") -> DataFrame:
 
 def standardise(df: DataFrame, stats: DataFrame, x_col: str = "x", out_col: str = "x") -> DataFrame:
     """(x - mean) / scale element-wise; the statistics enter as scalar subqueries (one row)."""
-    # Subqueries may not sit inside a lambda: project them as columns first.
-    with_stats = df.withColumn("_mean", stats.select("mean").scalar()).withColumn("_scale", stats.select("scale").scalar())
-    z = F.transform(F.col(x_col), lambda v, i: (v - F.col("_mean")[i]) / F.col("_scale")[i])
-    return with_stats.withColumn(out_col, z).drop("_mean", "_scale")
+    # One scalar subquery for both arrays. Subqueries may not sit inside a lambda, so the
+    # statistics are projected as a column first.
+    with_stats = df.withColumn("_st", stats.select(F.struct("mean", "scale")).scalar())
+    z = F.transform(F.col(x_col), lambda v, i: (v - F.col("_st.mean")[i]) / F.col("_st.scale")[i])
+    return with_stats.withColumn(out_col, z).drop("_st")
 
 
 def prepare(factors: DataFrame, dictionary: DataFrame, vectors: DataFrame, train_share: float = 0.8):
