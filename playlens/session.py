@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Remove reliable-checkpoint files once their DataFrame is garbage: the exact-position helper
+    # and the cold-start table checkpoint whole tables into the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
