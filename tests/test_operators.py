@@ -92,7 +92,7 @@ def test_top_k_scores_brute_force(spark):
     v[7] = v[3]  # exact score tie, lower id must win
     users = spark.createDataFrame([(i, u[i].tolist()) for i in range(37)], "id long, features array<float>")
     items = spark.createDataFrame([(i, v[i].tolist()) for i in range(53)], "id long, features array<float>")
-    got = recommend.top_k_scores(users, items, k=6, user_block_rows=10, item_block_rows=16).toPandas()
+    got = recommend.top_k_scores(users, items, k=6, user_block_rows=10, item_block_rows=16, chunk_cells=30).toPandas()
     u32, v32 = np.asarray(u, np.float32).astype(float), np.asarray(v, np.float32).astype(float)
     s = u32 @ v32.T
     for i in range(37):
@@ -195,3 +195,17 @@ def test_lasso_and_ridge_match_spark_ml_linear_regression(spark):
     ridge = LinearRegression(featuresCol="vec", elasticNetParam=0.0, regParam=5.0 / 200 * float(np.std(y)),
                              standardization=False, solver="normal").fit(data)
     assert np.allclose(wr[:, 0], ridge.coefficients.toArray(), atol=1e-6)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 7, 64])
+def test_stream_top_k_exact_with_ties(chunk):
+    rng = np.random.default_rng(4)
+    u = rng.integers(-2, 3, size=(9, 3)).astype(float)   # small integers: many exact score ties
+    v = rng.integers(-2, 3, size=(40, 3)).astype(float)
+    ids = rng.permutation(1000)[:40].astype(np.int64)
+    rows, got_ids, scores, rank = recommend.stream_top_k(u, v, ids, 5, chunk)
+    s = u @ v.T
+    for i in range(9):
+        want = sorted(range(40), key=lambda j: (-s[i, j], ids[j]))[:5]
+        assert got_ids[rows == i].tolist() == ids[want].tolist()
+        assert rank[rows == i].tolist() == [1, 2, 3, 4, 5]
