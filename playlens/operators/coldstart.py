@@ -99,9 +99,9 @@ def prepare(factors: DataFrame, dictionary: DataFrame, vectors: DataFrame, train
     return scaled.filter("_train").drop("_train"), scaled.filter(~F.col("_train")).drop("_train")
 
 
-def knn_predict(train: DataFrame, holdout: DataFrame, block_rows: int = 2048) -> DataFrame:
+def knn_predict(train: DataFrame, holdout: DataFrame, block_rows: int | None = None) -> DataFrame:
     """(id, neighbor_id, dist, features, truth): the nearest train item's factors for each holdout item."""
-    nn = nearest_neighbour(holdout.select("id", "x"), train.select("id", "x"), block_rows)
+    nn = nearest_neighbour(holdout.select("id", "x"), train.select("id", "x"), block_rows, block_rows)
     ref = train.select(F.col("id").alias("ref_id"), F.col("features").alias("pred"))
     truth = holdout.select(F.col("id").alias("query_id"), F.col("features").alias("truth"))
     out = nn.join(ref, "ref_id").join(truth, "query_id")

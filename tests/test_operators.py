@@ -107,7 +107,8 @@ def test_nearest_neighbour_brute_force(spark):
     r = rng.normal(size=(41, 4))
     qs = spark.createDataFrame([(i, q[i].tolist()) for i in range(23)], "id long, x array<double>")
     rs = spark.createDataFrame([(100 + i, r[i].tolist()) for i in range(41)], "id long, x array<double>")
-    got = recommend.nearest_neighbour(qs, rs, block_rows=8).toPandas().set_index("query_id")
+    got = recommend.nearest_neighbour(qs, rs, query_block_rows=8, ref_block_rows=8, chunk_cells=24).toPandas()
+    got = got.set_index("query_id")
     d = ((q[:, None, :] - r[None, :, :]) ** 2).sum(-1)
     for i in range(23):
         assert got.loc[i, "ref_id"] == 100 + int(d[i].argmin())
@@ -209,3 +210,12 @@ def test_stream_top_k_exact_with_ties(chunk):
         want = sorted(range(40), key=lambda j: (-s[i, j], ids[j]))[:5]
         assert got_ids[rows == i].tolist() == ids[want].tolist()
         assert rank[rows == i].tolist() == [1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("chunk", [1, 4, 50])
+def test_stream_nearest_ties_to_lower_id(chunk):
+    q = np.array([[0.0, 0.0], [1.0, 1.0]])
+    r = np.array([[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0], [1.0, 1.0], [2.0, 2.0]])
+    ids = np.array([30, 20, 10, 40, 5], dtype=np.int64)
+    d, best = recommend.stream_nearest(q, r, ids, chunk)
+    assert best.tolist() == [10, 40] and d.tolist() == [1.0, 0.0]
