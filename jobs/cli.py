@@ -13,9 +13,9 @@
     spark-submit jobs/cli.py als-grid     --train t.parquet --val v.parquet --max-iter 10 [--ranks 10,20] [--regs 0.01]
     spark-submit jobs/cli.py als-fit      --train t.parquet --model model_dir --rank 200 --reg 0.1 --max-iter 10
     spark-submit jobs/cli.py features     --songs songs.parquet --terms artist_term.parquet --output items_meta [--top 2]
-    spark-submit jobs/cli.py coldstart    --factors itemFactors --dictionary items_hash --features items_meta
-                                          --output itemFactors_patched [--slices 10]
-    spark-submit jobs/cli.py linear-grid  --factors itemFactors --dictionary items_hash --features items_meta
+    spark-submit jobs/cli.py coldstart    --factors itemFactors --dictionary items_hash --songs songs --terms artist_term
+                                          --output itemFactors_patched [--slices 10] [--top 2]
+    spark-submit jobs/cli.py linear-grid  --factors itemFactors --dictionary items_hash --songs songs --terms artist_term
     spark-submit jobs/cli.py topk         --users userFactors --items itemFactors --val-users valUsers --output recs --k 500
 
 Interaction inputs have (user_id, track_id, count); factor inputs (id, features). The checkpoint folder
@@ -69,8 +69,8 @@ def main(argv: list[str] | None = None) -> None:
     cmd("als-grid", "train", "val", "max-iter", "ranks", "regs", "k")
     cmd("als-fit", "train", "model", "rank", "reg", "max-iter")
     cmd("features", "songs", "terms", "output", "top", "drop-level")
-    cmd("coldstart", "factors", "dictionary", "features", "output", "slices")
-    cmd("linear-grid", "factors", "dictionary", "features")
+    cmd("coldstart", "factors", "dictionary", "songs", "terms", "output", "slices", "top")
+    cmd("linear-grid", "factors", "dictionary", "songs", "terms", "top")
     cmd("topk", "users", "items", "val-users", "output", "k")
     a = p.parse_args(argv)
 
@@ -118,7 +118,8 @@ def main(argv: list[str] | None = None) -> None:
         top = features.artist_top_terms(read(a.terms), int(a.top or 2))
         sinks.write_parquet(features.item_features(read(a.songs), top, a.drop_level), a.output)
     elif a.cmd in ("coldstart", "linear-grid"):
-        meta = read(a.features)  # (track_id, x array<double>) feature vectors
+        top = features.artist_top_terms(read(a.terms), int(a.top or 2))
+        meta = features.multi_hot_vectors(read(a.songs), top)  # (track_id, x array<double>)
         dictionary = read(a.dictionary).select("track_id", F.col("item_hashId").alias("item_id"))
         train, holdout = coldstart.prepare(read(a.factors), dictionary, meta)
         if a.cmd == "coldstart":

@@ -28,3 +28,23 @@ def test_cli_downsample_and_stats(spark, tmp_path, capsys):
     cli.main(["stats", "--input", str(tmp_path / "ds")])
     out = capsys.readouterr().out
     assert '"n_rows"' in out
+
+
+def test_cli_coldstart_end_to_end(spark, tmp_path, capsys):
+    from pyspark.sql import functions as F
+
+    from jobs import cli
+
+    paths = {}
+    for name in ("songs", "artist_term", "item_factors"):
+        paths[name] = str(tmp_path / name)
+        fx.load(spark, SF_SMALL, name).write.parquet(paths[name])
+    paths["dict"] = str(tmp_path / "dict")
+    fx.songs(spark, SF_SMALL).select("track_id", F.col("track_id").cast("int").alias("item_hashId")).write.parquet(paths["dict"])
+    out = str(tmp_path / "patched")
+    cli.main(["coldstart", "--factors", paths["item_factors"], "--dictionary", paths["dict"], "--songs", paths["songs"],
+              "--terms", paths["artist_term"], "--output", out, "--slices", "3"])
+    assert '"mse"' in capsys.readouterr().out
+    patched = spark.read.parquet(out)
+    assert patched.count() == fx.item_factors(spark, SF_SMALL).join(fx.songs(spark, SF_SMALL),
+                                                                    F.col("id") == F.col("track_id")).count()
