@@ -19,10 +19,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast when ``max_rows`` (a proven upper bound on ``df``'s rows) is small enough."""
     return F.broadcast(df) if max_rows <= MAX_BROADCAST_ROWS else df
 
-
-def histogram_bound(n_rows: int) -> int:
-    """Upper bound on the number of distinct per-key counts when the counts add up to ``n_rows``.
-
-    d distinct positive counts need at least 1 + 2 + ... + d = d(d+1)/2 rows, so d <= sqrt(2 n).
-    """
-    return int((2 * max(n_rows, 1)) ** 0.5) + 1
