@@ -9,6 +9,14 @@ Sub-packages
     streaming  incremental (file-stream) form of the interaction statistics
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from playlens.session import build_session, ensure_checkpoint_dir
 
+# Python workers need not have this package installed: functions that run in tasks (the pandas
+# block scorers, the statistics passes) are shipped by value with each job, not by import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["build_session", "ensure_checkpoint_dir"]

@@ -48,3 +48,23 @@ def test_cli_coldstart_end_to_end(spark, tmp_path, capsys):
     patched = spark.read.parquet(out)
     assert patched.count() == fx.item_factors(spark, SF_SMALL).join(fx.songs(spark, SF_SMALL),
                                                                     F.col("id") == F.col("track_id")).count()
+
+
+def test_entry_runs_from_another_directory(tmp_path):
+    """Workers need not import the package: task functions ship by value (cloudpickle)."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import importlib.util\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"spec = importlib.util.spec_from_file_location('entry', {os.path.join(repo, '__spark_entry__.py')!r})\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        f"print('ROWS', m.queries()['topk_scores'](spark, {SF_SMALL!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "ROWS " in out.stdout, out.stderr[-2000:]
