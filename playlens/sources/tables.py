@@ -44,3 +44,17 @@ def read_parquet_dir(spark: SparkSession, path: str) -> DataFrame:
 def read_usage_csv(spark: SparkSession, path: str, schema: T.StructType = ITEM_USAGE_SCHEMA) -> DataFrame:
     """Headerless CSV directory with given column names and types (no inference pass)."""
     return spark.read.schema(schema).option("header", "false").csv(path)
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str], partition_column: str | None = None,
+              lower: int | None = None, upper: int | None = None, partitions: int = 1) -> DataFrame:
+    """Relational table scan with the projection pushed into the database query.
+
+    Needs the database's JDBC driver on the classpath. With ``partition_column`` and bounds, Spark
+    issues ``partitions`` range queries in parallel instead of one scan.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"(SELECT {', '.join(columns)} FROM {table}) t")
+    if partition_column:
+        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower)
+                  .option("upperBound", upper).option("numPartitions", partitions))
+    return reader.load()
