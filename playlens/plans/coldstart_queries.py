@@ -10,7 +10,8 @@ from playlens.plans.oracle import with_fixtures
 from playlens.plans.registry import query
 from playlens.sources import fixtures as fx
 
-ALPHAS = [10.0 ** e for e in range(-3, 3)]   # logspace(-3, 2, 6)
+# Fixed values of the evaluated regressions: alphas logspace(-3, 2, 6), lasso iteration cap.
+ALPHAS = [10.0 ** e for e in range(-3, 3)]
 LASSO_MAX_ITER = 2000
 FACTOR_HEAD = 3                              # leading factor columns shown wide
 

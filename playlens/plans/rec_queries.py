@@ -11,7 +11,8 @@ from playlens.plans.oracle import with_fixtures
 from playlens.plans.registry import query
 from playlens.sources import fixtures as fx
 
-TOP_N = 500          # recommendations per user, as in the evaluated jobs
+# Fixed values of the evaluated jobs: list length, metric cut-offs, ALS grid.
+TOP_N = 500          # recommendations per user
 K_PRECISION = 15
 K_NDCG = 10
 ALS_MAX_ITER = 5     # the reference takes maxIter as a required argument

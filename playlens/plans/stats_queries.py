@@ -14,6 +14,7 @@ from playlens.session import ensure_checkpoint_dir
 from playlens.sources import fixtures as fx
 from playlens.sources.tables import read_usage_csv
 
+# Fixed values of the evaluated jobs: share cutoff, nominal size, random sample, listener thresholds.
 SHARE_CUTOFF = 0.5      # head items holding half of the rows
 TOP_N_ITEMS = 500       # nominal down-sampling size
 SAMPLE_FRACTION = 0.5   # random item sample, seed 0
