@@ -97,7 +97,8 @@ def cumulative_share_rows(
     never puts a tie group (the many items with one listener) in a single task.
     """
     ranked = positions(usage, [F.col(value_col).desc(), F.col(item_col).asc()], name="_rank")
-    hist = _histogram_prefix(usage, value_col)
+    # From the ranked (checkpointed) rows, so the usage table is not recomputed from the facts.
+    hist = _histogram_prefix(ranked.select(value_col), value_col)
     out = ranked.join(F.broadcast(hist), value_col)  # bounded: sqrt(2N) rows
     cum = F.col("sum_before") + F.col(value_col) * (F.col("_rank") - F.col("keys_before"))
     cols = [F.col(c) for c in usage.columns] + [(cum / F.col("value_total")).alias(share_col)]
