@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions.positions import positions
+from playlens.session import ensure_checkpoint_dir
 
 
 def basic_stats(df: DataFrame, user_col: str = "user_id", item_col: str = "track_id", approx: bool = False) -> DataFrame:
@@ -78,7 +79,12 @@ def running_share(totals: DataFrame, value_col: str = "row_totals", out_col: str
     """Running share of ``value_col`` in descending order with RANGE peers.
 
     Same result as ``sum(v) OVER (ORDER BY v DESC) / sum(v)``: tied items share one running total.
+    ``totals`` is read twice (histogram and join). Column pruning makes the two branches differ, so
+    Spark would aggregate the facts twice. The per-item table is checkpointed once instead; it is
+    item-sized, not fact-sized.
     """
+    ensure_checkpoint_dir(totals.sparkSession)
+    totals = totals.checkpoint(eager=True)
     hist = _histogram_prefix(totals, value_col).select(
         value_col, ((F.col("sum_before") + F.col("value_sum")) / F.col("value_total")).alias(out_col)
     )
