@@ -219,3 +219,22 @@ def test_stream_nearest_ties_to_lower_id(chunk):
     ids = np.array([30, 20, 10, 40, 5], dtype=np.int64)
     d, best = recommend.stream_nearest(q, r, ids, chunk)
     assert best.tolist() == [10, 40] and d.tolist() == [1.0, 0.0]
+
+
+def test_split_is_a_partition_of_ids(spark):
+    df = spark.range(0, 2000).select(F.col("id"))
+    train, holdout = coldstart.split(df, 0.8)
+    assert train.join(holdout, "id").count() == 0
+    assert train.count() + holdout.count() == 2000
+    assert 1500 < train.count() < 1700
+
+
+def test_max_records_slices_keep_every_row(spark, tmp_path):
+    from playlens.sources import sinks, tables
+
+    df = spark.range(0, 1000).withColumnRenamed("id", "track_id")
+    sinks.write_max_records(df, str(tmp_path / "mr"), 128)
+    back = tables.read_parquet_dir(spark, str(tmp_path / "mr"))
+    assert back.count() == 1000 and back.exceptAll(df).count() == 0
+    files = [p for p in (tmp_path / "mr").iterdir() if p.name.endswith(".parquet")]
+    assert len(files) >= 8
