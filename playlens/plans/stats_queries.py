@@ -201,3 +201,19 @@ def users_in_val_count(spark, sf_dir):
     "SELECT track_id, CAST(DENSE_RANK() OVER (ORDER BY track_id) AS BIGINT) AS dense_id FROM (SELECT DISTINCT track_id FROM train) t"))
 def item_dense_ids(spark, sf_dir):
     return keys.dense_ids(fx.train(spark, sf_dir), "track_id")
+
+
+@query("downsample_random_sizes", with_fixtures(f"""
+    SELECT (SELECT COUNT(*) FROM train) AS n_rows_before, COUNT(*) AS n_rows_after,
+           (SELECT COUNT(DISTINCT track_id) FROM train) AS n_items_before, COUNT(DISTINCT track_id) AS n_items_after
+    FROM train
+    WHERE (({murmur3_bigint(f'track_id + {SAMPLE_SEED}')} % 10000) + 10000) % 10000 < {int(SAMPLE_FRACTION * 10000)}"""))
+def downsample_random_sizes(spark, sf_dir):
+    """Rows and items before and after the random item sample (one aggregate each side)."""
+    train = fx.train(spark, sf_dir)
+    after = downsample.downsample_random_items(train, SAMPLE_FRACTION, SAMPLE_SEED)
+    before = train.agg(F.count("*").alias("n_rows_before"), F.countDistinct("track_id").alias("n_items_before"))
+    kept = after.agg(F.count("*").alias("n_rows_after"), F.countDistinct("track_id").alias("n_items_after"))
+    return kept.select("n_rows_after", "n_items_after",
+                       before.select("n_rows_before").scalar().alias("n_rows_before"),
+                       before.select("n_items_before").scalar().alias("n_items_before"))
