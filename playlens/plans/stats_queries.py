@@ -217,3 +217,12 @@ def downsample_random_sizes(spark, sf_dir):
     return kept.select("n_rows_after", "n_items_after",
                        before.select("n_rows_before").scalar().alias("n_rows_before"),
                        before.select("n_items_before").scalar().alias("n_items_before"))
+
+
+@query("downsample_share_sizes", with_fixtures(f"""
+    SELECT COUNT(*) AS n_items_kept, CAST(SUM(row_totals) AS BIGINT) AS n_rows_kept
+    FROM ({RUNNING_SQL}) r WHERE row_running_pct <= {SHARE_CUTOFF}"""))
+def downsample_share_sizes(spark, sf_dir):
+    """Items kept by the share cutoff and the rows they carry (no second pass over the rows)."""
+    kept = downsample.items_by_share(fx.train(spark, sf_dir), SHARE_CUTOFF)
+    return kept.agg(F.count("*").alias("n_items_kept"), F.sum("row_totals").cast("bigint").alias("n_rows_kept"))
