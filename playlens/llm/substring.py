@@ -111,6 +111,7 @@ def _cut(window: int, with_text: bool):
             data, offsets = string_buffer(batch.column("text"))
             cuts = batch.column("cuts")
             absent = np.asarray(cuts.is_null())
+            empty = np.asarray(batch.column("text").is_null())
             total, removed, digest, texts = [], [], [], []
             for r in range(batch.num_rows):
                 raw = data[offsets[r] : offsets[r + 1]]
@@ -139,7 +140,7 @@ def _cut(window: int, with_text: bool):
                         for k in np.flatnonzero(gone):
                             stay[bounds[k] : bounds[k + 1]] = False
                         body = raw[stay].tobytes().rstrip(b" \t\n\r\x0b\x0c")
-                    texts.append(body.decode())
+                    texts.append(None if empty[r] else body.decode())
             cols = [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string())]
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
             if with_text:
