@@ -5,11 +5,12 @@
 2. ``BANDS`` bands of the signature are bucket keys. At similarity 0.75 four rows a band and 32 bands
    miss a pair with probability (1 - 0.75**4)**32 = 5e-6.
 3. In each bucket every class is paired with the bucket's least class. The pairs pass a size test, a
-   signature test (estimate at least ``MIN_ESTIMATE``, more than six deviations below 0.75), then the
-   exact test on full sets. Components by alternating large-star and small-star.
-4. Buckets that still hold more than one component are compared across components: blocks of members
-   are dealt to tasks, signatures are compared as arrays, and the surviving pairs take the exact test.
-   Pairs inside one component are never emitted, so a large group of copies stays linear.
+   signature test (estimate at least ``MIN_ESTIMATE``: a pair at 0.75 falls below it with probability
+   1e-5), then the exact test on full sets. Components by alternating large-star and small-star.
+4. Buckets that still hold more than one component are compared across components: pairs of blocks of
+   members are dealt to tasks, which compare signatures as arrays, then full sets. A pair is tested in its
+   first common band only, and not once its ends are joined; only links that join components leave the
+   task, so no list of pairs is ever made.
 
 Defined cases: a null text is empty; an empty text has no shingle and is linked with nothing; rows
 that repeat a doc_id are one node; rows with a null doc_id are linked with nothing and kept; columns
@@ -31,8 +32,8 @@ from playlens.llm.components import components
 SHINGLE = 5
 HASHES = 128
 BANDS = 32
-MIN_ESTIMATE = 0.5
-BLOCK = 1024
+MIN_ESTIMATE = 0.58
+BLOCK = 512
 
 
 def _sets(batch: pa.RecordBatch, hasher: WordHasher, shingle: int):
@@ -101,6 +102,14 @@ def _size_ok(n: str, m: str):
     return 100 * F.least(n, m) >= 75 * F.greatest(n, m)
 
 
+def _linked(p: np.ndarray, q: np.ndarray, threshold: int) -> bool:
+    """Whether two sorted sets reach ``threshold`` percent Jaccard."""
+    both = np.concatenate([p, q])
+    both.sort()
+    inter = int((both[1:] == both[:-1]).sum())
+    return 100 * inter >= threshold * (len(p) + len(q) - inter)
+
+
 def _similar(threshold: int):
     """Keeps pairs (a, b, x, y) whose sets x, y reach ``threshold`` percent Jaccard."""
 
@@ -108,11 +117,7 @@ def _similar(threshold: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([p, q])
-                both.sort()
-                inter = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * inter >= threshold * (len(p) + len(q) - inter))
+                keep.append(_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
@@ -137,28 +142,41 @@ def _with_payload(pairs: DataFrame, side: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
 
 
-def _cross_component(batches):
-    """Pairs of a block pair's members that differ in component and pass the size and signature tests."""
-    for group in runs(batches, ["key", "lo", "hi"]):
-        rep = group.column("rep").to_numpy()
-        root = group.column("root").to_numpy()
-        blk = group.column("blk").to_numpy()
-        n = group.column("n").to_numpy()
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(len(rep), -1)
-        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-        left = np.flatnonzero(blk == lo)
-        right = np.flatnonzero(blk == hi)
-        out_a, out_b = [], []
-        for i in left.tolist():
-            js = right[right > i] if lo == hi else right
-            js = js[(root[js] != root[i]) & (rep[js] != rep[i])]
-            js = js[100 * np.minimum(n[js], n[i]) >= 75 * np.maximum(n[js], n[i])]
-            js = js[(sig[js] == sig[i]).mean(axis=1) >= MIN_ESTIMATE]
-            out_a.append(np.minimum(rep[js], rep[i]))
-            out_b.append(np.maximum(rep[js], rep[i]))
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
-                                             names=["a", "b"])
+def _cross_component(threshold: int, bands: int):
+    """Links between members of a block pair that join two components; see the module's step 4."""
+
+    def work(batches):
+        for group in runs(batches, ["key", "lo", "hi"]):
+            rep, root, blk, n = (group.column(c).to_numpy() for c in ("rep", "root", "blk", "n"))
+            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(len(rep), -1)
+            sets = group.column("payload")
+            band, lo, hi = (group.column(c)[0].as_py() for c in ("band", "lo", "hi"))
+            up = {r: r for r in set(root.tolist())}
+
+            def top(r):
+                while up[r] != r:
+                    up[r] = up[up[r]]
+                    r = up[r]
+                return r
+
+            left, right = np.flatnonzero(blk == lo), np.flatnonzero(blk == hi)
+            out_a, out_b = [], []
+            for i in left.tolist():
+                js = right[right > i] if lo == hi else right
+                js = js[(root[js] != root[i]) & (100 * np.minimum(n[js], n[i]) >= threshold * np.maximum(n[js], n[i]))]
+                same = sig[js] == sig[i]
+                first = same.reshape(len(js), bands, sig.shape[1] // bands).all(axis=2).argmax(axis=1)
+                js = js[(same.mean(axis=1) >= MIN_ESTIMATE) & (first == band)]
+                x = np.frombuffer(sets[i].as_py(), np.uint64) if len(js) else None
+                for j in js.tolist():
+                    r, q = top(root[i]), top(root[j])
+                    if r != q and _linked(x, np.frombuffer(sets[j].as_py(), np.uint64), threshold):
+                        up[max(r, q)] = min(r, q)
+                        out_a.append(min(rep[i], rep[j]))
+                        out_b.append(max(rep[i], rep[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    return work
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 75,
@@ -169,9 +187,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = scratch(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
                                                F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     banded = classes.select("rep", "n", F.posexplode("bands").alias("band", "hash")).select(
-        "rep", "n", F.xxhash64("band", "hash").alias("key"))
+        "rep", "n", "band", F.xxhash64("band", "hash").alias("key"))
     heads = banded.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    members = banded.join(heads, "key").select("key", "rep", "n", "size", F.col("head.rep").alias("a"), F.col("head.n").alias("an"))
+    members = banded.join(heads, "key").select("key", "band", "rep", "n", "size", F.col("head.rep").alias("a"), F.col("head.n").alias("an"))
     members = scratch(members)
     minima = classes.select("rep", F.col("sig").alias("payload"))
     star = members.where(F.col("rep") != F.col("a")).where(_size_ok("n", "an")).select("a", F.col("rep").alias("b")).distinct()
@@ -190,18 +208,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     edges = scratch(_with_payload(star, sets).mapInArrow(_similar(threshold), "a long, b long").distinct())
     roots = components(edges)
-    placed = members.where("size > 2").select("key", "rep", "n").join(
+    placed = members.where("size > 2").select("key", "band", "rep", "n").join(
         roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y")
     placed = placed.join(mixed.select("key", "size"), "key").withColumn(
         "nb", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("rep"), "nb").cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
-        "key", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "rep", "root", "n")
-    dealt = dealt.join(minima.withColumnRenamed("payload", "sig"), "rep").select(
-        "key", "lo", "hi", "blk", "rep", "root", "n", "sig")
-    more = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep").mapInArrow(
-        _cross_component, "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
-    late = scratch(_with_payload(more, sets).mapInArrow(_similar(threshold), "a long, b long").distinct())
+        "key", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "band", "rep", "root", "n")
+    dealt = dealt.join(minima.withColumnRenamed("payload", "sig"), "rep").join(sets, "rep").select(
+        "key", "lo", "hi", "blk", "band", "rep", "root", "n", "sig", "payload")
+    late = scratch(dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep").mapInArrow(
+        _cross_component(threshold, BANDS), "a long, b long").distinct())
     if late.limit(1).count():
         roots = components(edges.unionByName(late))
 

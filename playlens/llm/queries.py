@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import minhash, packing, pii, quality, substring
+from playlens.llm import embedding, minhash, packing, pii, quality, substring
 
 QUERIES: dict = {}
 
@@ -129,6 +129,34 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("found.spans")).alias("spans"))
 
 
+OP10_SQL = (
+    """
+WITH RECURSIVE vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+    good AS (
+        SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM vectors
+        WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(v, lambda x: x <> 0)) > 0
+    ),
+    links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.label = y.label AND x.vec_id < y.vec_id
+        WHERE list_dot_product(x.v, y.v) / (x.norm * y.norm) >= 0.93
+    ),
+"""
+    + _COMPONENTS
+    + """
+    , degree AS (SELECT a AS node, count(*) AS n FROM near GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(coalesce(root, vec_id), vec_id) AS component_id,
+    least(coalesce(root, vec_id), vec_id) = vec_id AS kept
+FROM vectors LEFT JOIN degree ON degree.node = vec_id LEFT JOIN least ON least.node = vec_id
+"""
+)
+
+
+@query("op10_embedding_groups", OP10_SQL)
+def op10_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {k: v[0] for k, v in QUERIES.items()}
 
