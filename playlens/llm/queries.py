@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import embedding, minhash, packing, pii, quality, substring
+from playlens.llm import embedding, fingerprint, html_text, minhash, packing, pii, quality, substring
 
 QUERIES: dict = {}
 
@@ -39,6 +39,16 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op2_html_text")
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.next_pairs(table(spark, sf_dir, "documents"))
+
+
 # The recursive part of each component query walks links from every row to the least id it reaches.
 _COMPONENTS = """
     near AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
