@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import embedding, fingerprint, html_text, minhash, packing, pii, quality, substring
+from playlens.llm import embedding, fingerprint, html_text, lm, minhash, packing, pii, quality, substring
 
 QUERIES: dict = {}
 
@@ -85,6 +85,13 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+@query("op5_lm_scores")
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = quality.held_out("doc_id", 7, 2)
+    return lm.scores(table(spark, sf_dir, "documents"), ~held).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 OP6_SQL = (
     r"""
 WITH RECURSIVE words AS (
