@@ -21,7 +21,6 @@ rows with equal id and text get equal samples; other columns are ignored; no row
 
 from __future__ import annotations
 
-import bisect
 import heapq
 import math
 import random
@@ -40,10 +39,26 @@ UNKNOWN_LOGP = -16.0  # per byte of a character without a piece
 _START = "▁"
 _LITERAL = "\udc81"  # stands for a literal U+2581 in a text; no valid text holds it
 _WORD = re.compile(f"\n|{_START}+[^{_START}\n]*|[^{_START}\n]+")
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 _BATCH_CHARS = 1_000_000
 
 
+_MULT = 0x9E3779B97F4A7C15
+
+
+def _points(text: str) -> np.ndarray:
+    """Code points; the stand-in for a literal U+2581 is a lone surrogate."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _span_hashes(points: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` code points."""
+    out = np.zeros(max(len(points) - size + 1, 0), np.uint64)
+    for k in range(size):
+        out = out * np.uint64(_MULT) + points[k : k + len(out)] + np.uint64(1)
+    return mix(out)
+
+
 class Vocabulary:
     """Pieces, their prior and their bytes, from a SentencePiece model file."""
 
@@ -69,7 +84,14 @@ class Vocabulary:
         total = sum(1 / (r + ZIPF_SHIFT) for r in range(len(plain)))
         for r, (_, i, piece) in enumerate(sorted(plain)):
             self.edge[piece] = (i, -math.log((r + ZIPF_SHIFT) * total))
-        self.longest = max(map(len, self.edge), default=1)
+        # Per piece length: sorted hashes of the pieces' code points, their ids and priors.
+        self.by_length: dict[int, tuple] = {}
+        for size in sorted({len(p) for p in self.edge}):
+            own = [p for p in self.edge if len(p) == size]
+            hashes = _span_hashes(_points("".join(own)), size)[::size]
+            order = np.argsort(hashes)
+            self.by_length[size] = (hashes[order], np.array([self.edge[p][0] for p in own], np.int64)[order],
+                                    np.array([self.edge[p][1] for p in own])[order])
 
     def ids(self, code: int) -> list[int]:
         """Ids of an edge: one piece, or a character (as -1 - code point) by its bytes."""
@@ -87,68 +109,102 @@ class Vocabulary:
 class Lattices:
     """Flat edge lists of all words seen: per edge its code, end node, conditional log-probability.
 
-    Nodes of a word are consecutive; ``first[node]`` is its first edge and ``cdf`` rises by one per node,
-    so that a node's draw is one binary search.
+    Nodes of a word are consecutive; ``first[node]`` is its first edge, the likeliest. ``cdf`` is the
+    running probability of a node's edges in 2**-32, so a draw looks at little more than one edge.
     """
 
     def __init__(self, vocab: Vocabulary):
         self.vocab, self.root = vocab, {}
-        self.code, self.next, self.logp, self.cdf, self.first, self.final = [], [], [], [], [], []
-        self.arrays = None
-
-    def add(self, word: str) -> int:
-        """Root node of ``word``'s lattice."""
-        get, longest, n = self.vocab.edge.get, self.vocab.longest, len(word)
-        ways: list[list] = []
-        back = [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            own = []
-            for j in range(i + 1, min(n, i + longest) + 1):
-                e = get(word[i:j])
-                if e is not None:
-                    own.append((e[0], j, e[1] + back[j]))
-            if not own or own[0][1] != i + 1:
-                c = word[i]
-                raw = (_START if c == _LITERAL else c).encode()
-                code = self.vocab.byte_id[raw[0]] if len(raw) == 1 else -1 - ord(c)
-                own.append((code, i + 1, UNKNOWN_LOGP * len(raw) + back[i + 1]))
-            top = max(o[2] for o in own)
-            back[i] = top + math.log(sum(math.exp(o[2] - top) for o in own))
-            ways.append(own)
-        base = len(self.first)
-        for i in range(n):
-            own = ways[n - 1 - i]
-            self.first.append(len(self.code))
-            run = 0.0
-            for k, (code, j, w) in enumerate(own):
-                lp = w - back[i]
-                run += math.exp(lp)
-                self.code.append(code)
-                self.next.append(base + j if j < n else -1)
-                self.logp.append(lp)
-                self.cdf.append(base + i + (1.0 if k == len(own) - 1 else min(run, 1.0)))
-        self.root[word] = base
-        self.arrays = None
-        return base
-
-    def flat(self):
-        if self.arrays is None:
-            self.arrays = (np.array(self.code, np.int64), np.array(self.next, np.int64), np.array(self.logp), np.array(self.cdf))
-        return self.arrays
+        self.code, self.next, self.cdf, self.first = (np.zeros(0, np.int64) for _ in range(4))
+        self.logp = np.zeros(0)
+
+    def add(self, words: list[str]) -> None:
+        """Adds the lattices of new, distinct, non-empty words."""
+        points = _points("".join(words))
+        size = np.array([len(w) for w in words])
+        end = np.repeat(np.cumsum(size), size)
+        n = len(points)
+        left = end - np.arange(n)  # characters from here to the word's end
+        node, span, code, prior = [], [], [], []
+        for length, (hashes, ids, logp) in self.vocab.by_length.items():
+            if length > n:
+                break
+            at = np.flatnonzero(left[: n - length + 1] >= length)
+            own = _span_hashes(points, length)[at]
+            k = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+            hit = hashes[k] == own
+            node.append(at[hit])
+            span.append(np.full(int(hit.sum()), length))
+            code.append(ids[k[hit]])
+            prior.append(logp[k[hit]])
+            if length == 1:
+                at = at[~hit]  # characters without a piece go by their bytes
+                raw = points[at].astype(np.int64)
+                width = 1 + (raw > 0x7F) + (raw > 0x7FF) + (raw > 0xFFFF)
+                table = np.array([self.vocab.byte_id.get(b, 0) for b in range(128)])
+                node.append(at)
+                span.append(np.ones(len(at), np.int64))
+                code.append(np.where(raw < 128, table[np.minimum(raw, 127)], -1 - raw))
+                prior.append(UNKNOWN_LOGP * width)
+        node, span, code, prior = (np.concatenate(x) for x in (node, span, code, prior))
+        order = np.argsort(node, kind="stable")  # spans stay ascending within a node
+        node, span, code, prior = node[order], span[order], code[order], prior[order]
+        count = np.bincount(node, minlength=n)
+        first = np.concatenate([[0], np.cumsum(count)])[:-1]
+        target = node + span
+        final = target == end[node]
+        # Backward sums, one distance from the word's end after the other.
+        back, carry = np.zeros(n), np.zeros(len(node))
+        by_left = np.argsort(left, kind="stable")
+        cuts = np.searchsorted(left[by_left], np.arange(1, left.max() + 2))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            at = by_left[a:b]
+            c = count[at]
+            start = np.cumsum(c) - c
+            e = np.arange(int(c.sum())) - np.repeat(start - first[at], c)
+            value = prior[e] + np.where(final[e], 0.0, back[np.minimum(target[e], n - 1)])
+            top = np.maximum.reduceat(value, start)
+            back[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, c)), start))
+            carry[e] = value
+        logp = carry - back[node]
+        order = np.lexsort((-logp, node))
+        code, logp, target, final = code[order], logp[order], target[order], final[order]
+        rank = np.arange(len(node)) - first[node]
+        share, run = np.exp(logp), np.zeros(len(node))
+        for k in range(int(count.max())):
+            at = np.flatnonzero(rank == k)
+            run[at] = share[at] + (run[at - 1] if k else 0.0)
+        last = rank == count[node] - 1
+        bits = np.where(last, 1 << 32, np.minimum(run * 2.0**32, 2.0**32).astype(np.int64))
+        base, edges = len(self.first), len(self.code)
+        self.code = np.concatenate([self.code, code])
+        self.next = np.concatenate([self.next, np.where(final, -1, target + base)])
+        self.logp = np.concatenate([self.logp, logp])
+        self.cdf = np.concatenate([self.cdf, bits])
+        self.first = np.concatenate([self.first, first + edges])
+        for word, at in zip(words, (np.cumsum(size) - size + base).tolist()):
+            self.root[word] = at
 
     def edges(self, node: int) -> range:
-        return range(self.first[node], self.first[node + 1] if node + 1 < len(self.first) else len(self.code))
+        return range(int(self.first[node]), int(self.first[node + 1]) if node + 1 < len(self.first) else len(self.code))
+
+    def node_of(self, edge: int) -> int:
+        return int(np.searchsorted(self.first, edge, "right")) - 1
 
 
 def _drawn(lat: Lattices, roots: np.ndarray, keys: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
     """(edges, offsets): a drawn path of every word, in word order."""
-    _, after, _, cdf = lat.flat()
+    after, cdf = lat.next, lat.cdf
     node, at, step = roots, np.arange(len(roots)), 0
     whose, edges = [], []
     while len(at):
-        h = mix(keys[at] + np.uint64((step * 64 + stream) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        u = (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        e = np.searchsorted(cdf, node + u, "right")
+        h = mix(keys[at] + np.uint64((step * 64 + stream) * _MULT % (1 << 64)))
+        u = (h >> np.uint64(32)).astype(np.int64)
+        e = lat.first[node]
+        on = np.flatnonzero(cdf[e] <= u)
+        while len(on):
+            e[on] += 1
+            on = on[cdf[e[on]] <= u[on]]
         whose.append(at)
         edges.append(e)
         node = after[e]
@@ -185,7 +241,7 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
 
     ``draw(j)`` gives (edges, offsets) of the j-th drawn path of the text's words.
     """
-    logp = lat.flat()[2]
+    logp = lat.logp
     top = -math.log(-math.log(rng.random() or 1e-300))  # the best of a set of total mass 1
     edges, _ = draw(0)
     out = [(edges, float(logp[edges].sum()), top)]
@@ -211,7 +267,7 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
             own, own_logp = out[path][0], out[path][1]
             while True:
                 e = int(own[step])
-                node = _node_of(lat, e)
+                node = lat.node_of(e)
                 ahead = mass + lat.logp[e]
                 sets = [(mass + lat.logp[c], c) for c in lat.edges(node) if c != e]
                 left = _minus(ahead, own_logp) if step + 1 < len(own) else -math.inf
@@ -253,10 +309,6 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
     return [*out, -heap[0][0] if heap else -math.inf]
 
 
-def _node_of(lat: Lattices, edge: int) -> int:
-    return bisect.bisect_right(lat.first, edge) - 1
-
-
 def _inclusion(logp: float, threshold: float) -> float:
     """log of the probability that a path passes the threshold."""
     if threshold == -math.inf:
@@ -267,20 +319,22 @@ def _inclusion(logp: float, threshold: float) -> float:
 
 def _encode_rows(vocab: Vocabulary, lat: Lattices, rows: list[tuple], k: int):
     """(row index, rank, ids, log-probability, perturbed value, log inclusion) of each row (key, text)."""
-    roots, spans = [], [0]
+    words, spans = [], [0]
     for _, text in rows:
         marked = text.replace(_START, _LITERAL).replace(" ", _START)
-        words = _WORD.findall(_START + marked) if text else []
-        root = lat.root
-        roots += [root[w] if w in root else lat.add(w) for w in words]
-        spans.append(len(roots))
+        words += _WORD.findall(_START + marked) if text else []
+        spans.append(len(words))
+    new = list({w for w in words if w not in lat.root})
+    if new:
+        lat.add(new)
+    roots = [lat.root[w] for w in words]
     flat = np.array(roots, np.int64)
     count = np.diff(spans)
     seeds = mix(np.array([key for key, _ in rows], np.int64).view(np.uint64)) if rows else np.zeros(0, np.uint64)
     place = np.arange(len(flat)) - np.repeat(np.array(spans[:-1]), count)
     keys = mix(np.repeat(seeds, count) + place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     paths = [_drawn(lat, flat, keys, j) for j in range(k)]
-    code = lat.flat()[0]
+    code = lat.code
     for r, (key, text) in enumerate(rows):
         if not text:
             yield r, 0, [], 0.0, 0.0, 0.0
