@@ -33,7 +33,8 @@ SHINGLE = 5
 HASHES = 128
 BANDS = 32
 MIN_ESTIMATE = 0.58
-BLOCK = 512
+BLOCK = 2048  # members of a block, fewer if their sets pass BLOCK_SHINGLES
+BLOCK_SHINGLES = 4_000_000
 
 
 def _sets(batch: pa.RecordBatch, hasher: WordHasher, shingle: int):
@@ -210,13 +211,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(edges)
     placed = members.where("size > 2").select("key", "band", "rep", "n").join(
         roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y")
-    placed = placed.join(mixed.select("key", "size"), "key").withColumn(
-        "nb", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.xxhash64("rep"), "nb").cast("int"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"),
+                                      F.sum("n").alias("shingles")).where("x <> y")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    placed = placed.join(mixed.select("key", blocks.alias("nb")), "key").withColumn("blk", F.pmod(F.xxhash64("rep"), "nb").cast("int"))
+    placed = placed.join(minima.withColumnRenamed("payload", "sig"), "rep").join(sets, "rep")
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
-        "key", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "band", "rep", "root", "n")
-    dealt = dealt.join(minima.withColumnRenamed("payload", "sig"), "rep").join(sets, "rep").select(
-        "key", "lo", "hi", "blk", "band", "rep", "root", "n", "sig", "payload")
+        "key", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "band", "rep", "root", "n", "sig", "payload")
     late = scratch(dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep").mapInArrow(
         _cross_component(threshold, BANDS), "a long, b long").distinct())
     if late.limit(1).count():
