@@ -216,8 +216,11 @@ def _held_out(tokens: int, types: int, begins: int):
             with np.errstate(divide="ignore", invalid="ignore"):
                 q2 = np.where(c2 > 0, np.rint(np.log(c2 / ch / uniform) / GRID), -10_000)
                 q1 = np.where(c1 > 0, np.rint(np.log(c1 / max(tokens - 1, 1) / uniform) / GRID), -10_000)
-            rows, times = np.unique(np.stack([_context(ch), q2, q1], axis=1).astype(np.int64), axis=0, return_counts=True)
-            for key, k in zip(map(tuple, rows.tolist()), times.tolist()):
+            # One integer per cell; ratios lie within a few hundred bins of zero.
+            cell = (_context(ch) << 40) + ((q2.astype(np.int64) + 10_000) << 20) + q1.astype(np.int64) + 10_000
+            rows, times = np.unique(cell, return_counts=True)
+            for c, k in zip(rows.tolist(), times.tolist()):
+                key = (c >> 40, (c >> 20 & 0xFFFFF) - 10_000, (c & 0xFFFFF) - 10_000)
                 seen[key] = seen.get(key, 0) + k
         cols = list(zip(*(k + (v,) for k, v in seen.items()))) or [(), (), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["context", "q2", "q1", "n"])
