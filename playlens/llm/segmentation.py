@@ -51,14 +51,6 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _span_hashes(points: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every run of ``size`` code points."""
-    out = np.zeros(max(len(points) - size + 1, 0), np.uint64)
-    for k in range(size):
-        out = out * np.uint64(_MULT) + points[k : k + len(out)] + np.uint64(1)
-    return mix(out)
-
-
 class Vocabulary:
     """Pieces, their prior and their bytes, from a SentencePiece model file."""
 
@@ -88,11 +80,16 @@ class Vocabulary:
         self.by_length: dict[int, tuple] = {}
         for size in sorted({len(p) for p in self.edge}):
             own = [p for p in self.edge if len(p) == size]
-            hashes = _span_hashes(_points("".join(own)), size)[::size]
+            points, hashes = _points("".join(own)).reshape(-1, size), np.zeros(len(own), np.uint64)
+            for k in range(size):
+                hashes = hashes * np.uint64(_MULT) + points[:, k] + np.uint64(1)
+            hashes = mix(hashes)
             order = np.argsort(hashes)
             self.by_length[size] = (hashes[order], np.array([self.edge[p][0] for p in own], np.int64)[order],
                                     np.array([self.edge[p][1] for p in own])[order])
 
+        self.longest = max(self.by_length, default=1)
+
     def ids(self, code: int) -> list[int]:
         """Ids of an edge: one piece, or a character (as -1 - code point) by its bytes."""
         if code >= 0:
@@ -109,14 +106,23 @@ class Vocabulary:
 class Lattices:
     """Flat edge lists of all words seen: per edge its code, end node, conditional log-probability.
 
-    Nodes of a word are consecutive; ``first[node]`` is its first edge, the likeliest. ``cdf`` is the
+    Nodes of a word are consecutive; ``first[node]`` is its first edge, the longest. ``cdf`` is the
     running probability of a node's edges in 2**-32, so a draw looks at little more than one edge.
     """
 
     def __init__(self, vocab: Vocabulary):
         self.vocab, self.root = vocab, {}
-        self.code, self.next, self.cdf, self.first = (np.zeros(0, np.int64) for _ in range(4))
-        self.logp = np.zeros(0)
+        self.nodes = self.size = 0
+        self.code, self.next, self.cdf, self.first = (np.zeros(1024, np.int64) for _ in range(4))
+        self.logp = np.zeros(1024)
+
+    def _room(self, nodes: int, edges: int) -> None:
+        """Arrays double when full; ``first`` has one entry past the last node."""
+        if nodes + 1 > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros(nodes + 1, np.int64)])
+        if edges > len(self.code):
+            self.code, self.next, self.cdf = (np.concatenate([x, np.zeros(edges, np.int64)]) for x in (self.code, self.next, self.cdf))
+            self.logp = np.concatenate([self.logp, np.zeros(edges)])
 
     def add(self, words: list[str]) -> None:
         """Adds the lattices of new, distinct, non-empty words."""
@@ -125,37 +131,41 @@ class Lattices:
         end = np.repeat(np.cumsum(size), size)
         n = len(points)
         left = end - np.arange(n)  # characters from here to the word's end
-        node, span, code, prior = [], [], [], []
-        for length, (hashes, ids, logp) in self.vocab.by_length.items():
+        hits = []
+        run = np.zeros(n, np.uint64)
+        count = np.zeros(n, np.int64)
+        for length in range(1, self.vocab.longest + 1):
             if length > n:
                 break
+            run = run[: n - length + 1] * np.uint64(_MULT) + points[length - 1 :] + np.uint64(1)
             at = np.flatnonzero(left[: n - length + 1] >= length)
-            own = _span_hashes(points, length)[at]
+            hashes, ids, logp = self.vocab.by_length.get(length, (np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1)))
+            own = mix(run[at])
             k = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
             hit = hashes[k] == own
-            node.append(at[hit])
-            span.append(np.full(int(hit.sum()), length))
-            code.append(ids[k[hit]])
-            prior.append(logp[k[hit]])
             if length == 1:
-                at = at[~hit]  # characters without a piece go by their bytes
-                raw = points[at].astype(np.int64)
+                bare = at[~hit]  # characters without a piece go by their bytes
+                raw = points[bare].astype(np.int64)
                 width = 1 + (raw > 0x7F) + (raw > 0x7FF) + (raw > 0xFFFF)
                 table = np.array([self.vocab.byte_id.get(b, 0) for b in range(128)])
-                node.append(at)
-                span.append(np.ones(len(at), np.int64))
-                code.append(np.where(raw < 128, table[np.minimum(raw, 127)], -1 - raw))
-                prior.append(UNKNOWN_LOGP * width)
-        node, span, code, prior = (np.concatenate(x) for x in (node, span, code, prior))
-        order = np.argsort(node, kind="stable")  # spans stay ascending within a node
-        node, span, code, prior = node[order], span[order], code[order], prior[order]
-        count = np.bincount(node, minlength=n)
-        first = np.concatenate([[0], np.cumsum(count)])[:-1]
+                hits.append((bare, 1, np.where(raw < 128, table[np.minimum(raw, 127)], -1 - raw), UNKNOWN_LOGP * width))
+                count[bare] += 1
+            at = at[hit]
+            hits.append((at, length, ids[k[hit]], logp[k[hit]]))
+            count[at] += 1
+        first = np.cumsum(count) - count
+        total = int(count.sum())
+        node, span, code = (np.zeros(total, np.int64) for _ in range(3))
+        prior, place = np.zeros(total), first.copy()
+        for at, length, c, p in reversed(hits):  # longest, mostly likeliest, first
+            e = place[at]
+            node[e], span[e], code[e], prior[e] = at, length, c, p
+            place[at] += 1
         target = node + span
         final = target == end[node]
         # Backward sums, one distance from the word's end after the other.
         back, carry = np.zeros(n), np.zeros(len(node))
-        by_left = np.argsort(left, kind="stable")
+        by_left = np.argsort(left.astype(np.uint16) if size.max() < 1 << 16 else left, kind="stable")
         cuts = np.searchsorted(left[by_left], np.arange(1, left.max() + 2))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             at = by_left[a:b]
@@ -167,8 +177,6 @@ class Lattices:
             back[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, c)), start))
             carry[e] = value
         logp = carry - back[node]
-        order = np.lexsort((-logp, node))
-        code, logp, target, final = code[order], logp[order], target[order], final[order]
         rank = np.arange(len(node)) - first[node]
         share, run = np.exp(logp), np.zeros(len(node))
         for k in range(int(count.max())):
@@ -176,20 +184,22 @@ class Lattices:
             run[at] = share[at] + (run[at - 1] if k else 0.0)
         last = rank == count[node] - 1
         bits = np.where(last, 1 << 32, np.minimum(run * 2.0**32, 2.0**32).astype(np.int64))
-        base, edges = len(self.first), len(self.code)
-        self.code = np.concatenate([self.code, code])
-        self.next = np.concatenate([self.next, np.where(final, -1, target + base)])
-        self.logp = np.concatenate([self.logp, logp])
-        self.cdf = np.concatenate([self.cdf, bits])
-        self.first = np.concatenate([self.first, first + edges])
+        base, had = self.nodes, self.size
+        self.nodes, self.size = base + n, had + total
+        self._room(self.nodes, self.size)
+        new = slice(had, self.size)
+        self.code[new], self.logp[new], self.cdf[new] = code, logp, bits
+        self.next[new] = np.where(final, -1, target + base)
+        self.first[base : self.nodes] = first + had
+        self.first[self.nodes] = self.size
         for word, at in zip(words, (np.cumsum(size) - size + base).tolist()):
             self.root[word] = at
 
     def edges(self, node: int) -> range:
-        return range(int(self.first[node]), int(self.first[node + 1]) if node + 1 < len(self.first) else len(self.code))
+        return range(int(self.first[node]), int(self.first[node + 1]))
 
     def node_of(self, edge: int) -> int:
-        return int(np.searchsorted(self.first, edge, "right")) - 1
+        return int(np.searchsorted(self.first[: self.nodes], edge, "right")) - 1
 
 
 def _drawn(lat: Lattices, roots: np.ndarray, keys: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
