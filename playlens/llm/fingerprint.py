@@ -63,6 +63,11 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
+def _splits(cuts: list[float]) -> list[float]:
+    """Cut points for a Bucketizer, which needs one cut at least."""
+    return [-float("inf"), *(cuts or [float(2**62)]), float("inf")]
+
+
 def _pairs(shingle: int, scale: int):
     def work(batches):
         hasher = WordHasher(lower=True)
@@ -98,15 +103,14 @@ def next_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.coalesce(doc_id, F.lit(_LEAST))
     rows = docs.select(doc_id.alias("doc_id"), order.alias("k"), order.cast("double").alias("x"), F.col(text_col).cast("string").alias("text"))
     cuts = rows.approxQuantile("x", [i / (4 * parts) for i in range(1, 4 * parts)], 0.2 / parts)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="x", outputCol="part")
+    cut = Bucketizer(splits=_splits(sorted(set(cuts))), inputCol="x", outputCol="part")
     # One row per range: the number of ranges is bounded by the partition count.
     firsts = [r.k for r in cut.transform(rows.select("x", "k")).groupBy("part").agg(F.min("k").alias("k")).orderBy("part").collect()]
     if not firsts:
         firsts = [_LEAST]
     # Range i of those with rows starts at firsts[i]; its first row also ends range i - 1.
     heads = spark.createDataFrame([(k, (i - 1) % len(firsts)) for i, k in enumerate(firsts)], "k long, before int")
-    ranges = Bucketizer(splits=[-float("inf"), *[float(k) for k in firsts[1:]], float("inf")], inputCol="x", outputCol="part")
+    ranges = Bucketizer(splits=_splits([float(k) for k in firsts[1:]]), inputCol="x", outputCol="part")
     dealt = ranges.transform(rows).join(F.broadcast(heads), "k", "left").select(
         "k", "doc_id", "text", F.explode(F.filter(F.array(
             F.struct(F.col("part").cast("int").alias("part"), F.lit(0).alias("tail")),

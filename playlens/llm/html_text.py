@@ -83,6 +83,9 @@ def lines_of(page: str) -> list[tuple[int, str]]:
                     zone = stack[-1][1] if stack else PLAIN
                     break
             continue
+        if stack and name in _BLOCK and (stack[-1][0] == "p" or stack[-1][0] == name and name not in _BOX):
+            stack.pop()  # a block start ends an open marked paragraph, an item start an open marked item
+            zone = stack[-1][1] if stack else PLAIN
         rest = m["rest"]
         if name in _RAW:
             if not rest.endswith("/"):
