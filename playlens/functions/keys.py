@@ -17,6 +17,16 @@ def hash_id(col: str | Column) -> Column:
     return F.hash(F.col(col) if isinstance(col, str) else col)
 
 
+def seeded_unit(col: str | Column, seed: int = 0) -> Column:
+    """A repeatable number in [0, 1) for a key of any type: the full 32-bit range of ``hash(seed, key)``.
+
+    The seed is hashed first, so other seeds give unrelated numbers; ids that share low digits do not
+    share a number. A null key gets the seed's own number.
+    """
+    key = F.col(col) if isinstance(col, str) else col
+    return (F.hash(F.lit(seed).cast("bigint"), key).cast("bigint") + F.lit(2**31)) / F.lit(float(2**32))
+
+
 def with_hash_ids(df: DataFrame, user_col: str = "user_id", item_col: str = "track_id") -> DataFrame:
     """Add ``user_hashId`` and ``track_hashId`` next to the original keys."""
     return df.withColumn("user_hashId", hash_id(user_col)).withColumn("track_hashId", hash_id(item_col))

@@ -21,14 +21,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playlens.functions.keys import seeded_unit
 from playlens.operators.metrics import multi_output_errors
 from playlens.operators.recommend import _matrix, nearest_neighbour
 from playlens.session import ensure_checkpoint_dir
 
-# Holdout rule: an id is in train when (id * 2654435761) mod 1000 < 800 (Knuth's multiplicative
-# hash; exact in BIGINT for 32-bit ids).
-SPLIT_MULTIPLIER = 2654435761
-SPLIT_BUCKETS = 1000
+# Holdout rule: an id is in train when its seeded hash, as a share of the hash range, is below 0.8.
+SPLIT_SEED = 42
 
 
 def identity_dictionary(items: DataFrame, item_col: str = "track_id") -> DataFrame:
@@ -49,19 +48,15 @@ def dedup_by_id(df: DataFrame, id_col: str = "id", survivor_col: str = "track_id
     return best.select(id_col, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def one_per_key(df: DataFrame, key_col: str, survivor_col: str) -> DataFrame:
-    """First row per key in ``survivor_col`` order (drop_duplicates(key) with a fixed survivor)."""
-    return dedup_by_id(df, key_col, survivor_col)
+def in_train(id_col: str = "id", train_share: float = 0.8, seed: int = SPLIT_SEED) -> Column:
+    """Whether the id (of any type) falls in the train share; another seed gives another split."""
+    return seeded_unit(id_col, seed) < F.lit(float(train_share))
 
 
-def in_train(id_col: str = "id", train_share: float = 0.8) -> Column:
-    bucket = F.pmod(F.col(id_col) * F.lit(SPLIT_MULTIPLIER), F.lit(SPLIT_BUCKETS))
-    return bucket < F.lit(int(round(train_share * SPLIT_BUCKETS)))
-
-
-def split(table: DataFrame, train_share: float = 0.8, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+def split(table: DataFrame, train_share: float = 0.8, id_col: str = "id",
+          seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """Train and holdout parts: one predicate and its complement, so they never overlap."""
-    flag = in_train(id_col, train_share)
+    flag = in_train(id_col, train_share, seed)
     return table.filter(flag), table.filter(~flag)
 
 
@@ -209,18 +204,19 @@ def lasso_fit(mom: dict, alpha: float, max_iter: int = 2000, tol: float = 1e-10)
     return w, mom["my"] - mom["mx"] @ w
 
 
-def _error_rows(models: list[tuple[str, float, np.ndarray, np.ndarray]], x_col: str, y_col: str):
+def _error_rows(models: list[tuple[str, float, np.ndarray, np.ndarray]], x_col: str, y_col: str, centre):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty:
                 continue
             x, y = _matrix(pdf[x_col]), _matrix(pdf[y_col])
+            moved = y - centre
             frames = []
             for name, alpha, w, b in models:
                 res = y - (x @ w + b)
                 frames.append(pd.DataFrame({
                     "model": name, "alpha": alpha, "pos": np.arange(y.shape[1], dtype="int32"),
-                    "ss_res": (res ** 2).sum(0), "sy": y.sum(0), "syy": (y ** 2).sum(0), "n": len(y),
+                    "ss_res": (res ** 2).sum(0), "sy": moved.sum(0), "syy": (moved ** 2).sum(0), "n": len(y),
                 }))
             yield pd.concat(frames, ignore_index=True)
 
@@ -228,15 +224,16 @@ def _error_rows(models: list[tuple[str, float, np.ndarray, np.ndarray]], x_col:
 
 
 def evaluate_linear(holdout: DataFrame, models: list[tuple[str, float, np.ndarray, np.ndarray]],
-                    x_col: str = "x", y_col: str = "features") -> DataFrame:
-    """(model, alpha, mse, rmse, r2) on the holdout. The weights travel in the task closure:
+                    x_col: str = "x", y_col: str = "features", centre=0.0) -> DataFrame:
+    """(model, alpha, mse, rmse, r2) on the holdout; ``centre`` (the train means) keeps the sums for R2 small. The weights travel in the task closure:
     their size is models x features x factors."""
     schema = "model string, alpha double, pos int, ss_res double, sy double, syy double, n long"
-    parts = holdout.select(x_col, y_col).mapInPandas(_error_rows(models, x_col, y_col), schema)
+    parts = holdout.select(x_col, y_col).mapInPandas(_error_rows(models, x_col, y_col, centre), schema)
     per_pos = parts.groupBy("model", "alpha", "pos").agg(
         F.sum("ss_res").alias("ss_res"), F.sum("sy").alias("sy"), F.sum("syy").alias("syy"), F.sum("n").alias("n"))
     ss_tot = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    r2 = F.when(ss_tot > 0, 1 - F.col("ss_res") / ss_tot).otherwise(0.0)
+    # One R2 rule with multi_output_errors: a constant target (spread below rounding) that is met scores 1.
+    r2 = F.when(ss_tot > 1e-12 * F.col("syy"), 1 - F.col("ss_res") / ss_tot).otherwise(F.when(F.col("ss_res") == 0, 1.0).otherwise(0.0))
     return per_pos.groupBy("model", "alpha").agg(
         F.round(F.sum("ss_res") / F.sum("n"), 6).alias("mse"),
         F.round(F.sqrt(F.sum("ss_res") / F.sum("n")), 6).alias("rmse"),
@@ -254,4 +251,4 @@ def linear_grid(train: DataFrame, holdout: DataFrame, alphas: list[float], kinds
             models.append(("ridge", float(a), *ridge_fit(mom, a)))
         if "lasso" in kinds:
             models.append(("lasso", float(a), *lasso_fit(mom, a, lasso_iter)))
-    return evaluate_linear(holdout, models)
+    return evaluate_linear(holdout, models, centre=mom["my"])

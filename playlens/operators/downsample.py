@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.broadcast import bounded_broadcast
-from playlens.functions.keys import with_hash_ids
+from playlens.functions.keys import seeded_unit, with_hash_ids
 from playlens.operators.stats import item_totals, running_share
 
 REPEAT_CHUNK = 65536  # copies generated per array in the fan-out repeat
@@ -40,29 +40,24 @@ def downsample_top_n(df: DataFrame, n: int, item_col: str = "track_id", count_co
     return df.join(keep, item_col, "left_semi").select(*df.columns)
 
 
-def sample_bucket(key: str, seed: int, buckets: int = 10_000):
-    """Repeatable pseudo-random bucket of a BIGINT key: pmod(hash(key + seed), buckets)."""
-    return F.pmod(F.hash(F.col(key) + F.lit(seed).cast("bigint")), F.lit(buckets))
-
-
 def sample_items(df: DataFrame, fraction: float, seed: int = 0, item_col: str = "track_id",
                  repeatable: bool = True) -> DataFrame:
     """Distinct items kept with probability ``fraction``.
 
-    ``repeatable=True`` keeps an item when its hash bucket is below fraction x 10000: the same
-    items for the same seed on any cluster and partitioning. ``repeatable=False`` is
+    ``repeatable=True`` keeps an item when its seeded hash, as a share of the full hash range, is
+    below ``fraction``: the same items for the same seed on any cluster, for keys of any type. ``repeatable=False`` is
     ``DataFrame.sample`` (Bernoulli per row, depends on partitioning).
     """
     items = df.select(item_col).distinct()
     if not repeatable:
         return items.sample(fraction=fraction, seed=seed)
-    return items.filter(sample_bucket(item_col, seed) < F.lit(int(round(fraction * 10_000))))
+    return items.filter(seeded_unit(item_col, seed) < F.lit(float(fraction)))
 
 
 def downsample_random_items(df: DataFrame, fraction: float, seed: int = 0, item_col: str = "track_id") -> DataFrame:
-    """Rows of a random item subset. The same bucket predicate filters the rows directly, so no
+    """Rows of a random item subset. The same predicate filters the rows directly, so no
     join is needed: each row's item decides for itself."""
-    return df.filter(sample_bucket(item_col, seed) < F.lit(int(round(fraction * 10_000))))
+    return df.filter(seeded_unit(item_col, seed) < F.lit(float(fraction)))
 
 
 def restrict_to_users(train: DataFrame, val: DataFrame, user_col: str = "user_id") -> DataFrame:
@@ -71,6 +66,14 @@ def restrict_to_users(train: DataFrame, val: DataFrame, user_col: str = "user_id
     return with_hash_ids(train.join(users, user_col, "left_semi").select(*train.columns), user_col)
 
 
+def repeated_row_counts(train: DataFrame, val: DataFrame, user_col: str = "user_id") -> DataFrame:
+    """One row: how many rows and users ``restrict_to_users_repeated`` has, without making the rows."""
+    ours = train.groupBy(user_col).agg(F.count("*").alias("_t"))
+    theirs = val.groupBy(user_col).agg(F.count("*").alias("_v"))
+    return ours.join(theirs, user_col).agg(
+        F.coalesce(F.sum(F.col("_t") * F.col("_v")), F.lit(0)).cast("bigint").alias("n_rows"), F.count("*").alias("n_users"))
+
+
 def restrict_to_users_repeated(train: DataFrame, val: DataFrame, user_col: str = "user_id") -> DataFrame:
     """Inner-join semantics of train x val on the user: each train row once per val row of its user.
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playlens.operators import coldstart, features
+from playlens.operators import coldstart, features, metrics, recommend
 from playlens.plans.feature_queries import FEATURE_CTES
-from playlens.plans.oracle import with_fixtures
+from playlens.plans.oracle import seeded_unit_bigint, with_fixtures
+from playlens.plans.rec_queries import TOP_N, metrics_sql
 from playlens.plans.registry import query
 from playlens.sources import fixtures as fx
 
@@ -25,7 +26,7 @@ COLD_CTES = FEATURE_CTES + [
         UNION ALL SELECT s.track_id, 3 + k.idx, CASE WHEN t.term IS NULL THEN 0.0 ELSE 1.0 END
         FROM songs s CROSS JOIN keep_idx k LEFT JOIN top2 t ON t.artist_id = s.artist_id AND t.term = k.term"""),
     ("tt", "SELECT v.id, s.track_id, v.features FROM item_factors v JOIN songs s ON v.id = s.track_id"),
-    ("sp", f"SELECT id, track_id, features, (id * {coldstart.SPLIT_MULTIPLIER}) % 1000 < 800 AS is_train FROM tt"),
+    ("sp", f"SELECT id, track_id, features, {seeded_unit_bigint('id', coldstart.SPLIT_SEED)} < 0.8 AS is_train FROM tt"),
     ("xs", "SELECT sp.id, sp.is_train, xl.pos, xl.value FROM sp JOIN xl ON xl.track_id = sp.track_id"),
     ("mom", "SELECT pos, AVG(value) AS mu, STDDEV_POP(value) AS sd FROM xs WHERE is_train GROUP BY pos"),
     ("sc", """SELECT xs.id, xs.is_train, xs.pos, (xs.value - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END AS z
@@ -99,6 +100,38 @@ def patched_factors(spark, sf_dir):
         "value", F.col("value").cast("double"))
 
 
+COLD_TOPK_SQL = f"""
+    SELECT user_id, rank, item_id, ROUND(score, 6) AS score FROM (
+        SELECT user_id, item_id, score,
+               CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS BIGINT) AS rank
+        FROM (SELECT u.id AS user_id, i.id AS item_id,
+                     list_inner_product(CAST(u.features AS DOUBLE[]), CAST(i.features AS DOUBLE[])) AS score
+              FROM user_factors u JOIN patched i ON u.id IN (SELECT id FROM val_users)) p) s
+    WHERE rank <= {TOP_N}"""
+
+
+def _patched_topk(spark, sf_dir):
+    train, holdout = _prepared(spark, sf_dir)
+    items = coldstart.patched_factors(train, coldstart.knn_predict(train, holdout))
+    users = fx.user_factors(spark, sf_dir).join(fx.val_users(spark, sf_dir), "id", "left_semi")
+    return recommend.top_k_scores(users, items, TOP_N)
+
+
+@query("coldstart_topk", with_fixtures(COLD_TOPK_SQL, COLD_CTES))
+def coldstart_topk(spark, sf_dir):
+    """Top 500 items per validation user from the patched factors; copies of factors tie, lower id first."""
+    return _patched_topk(spark, sf_dir).withColumn("score", F.round("score", 6))
+
+
+@query("topk_eval", metrics_sql("SELECT user_id, rank, item_id AS track_id FROM cold_topk", "SELECT user_id, track_id FROM val", "*",
+                                (*COLD_CTES, ("cold_topk", COLD_TOPK_SQL))))
+def topk_eval(spark, sf_dir):
+    """MAP, P@15 and NDCG@10 of those per-user lists against the validation rows."""
+    recs = _patched_topk(spark, sf_dir).withColumnRenamed("item_id", "track_id")
+    truth = fx.val(spark, sf_dir).select("user_id", "track_id").distinct()
+    return metrics.ranking_metrics(recs, truth, "user_id", "track_id", "rank")
+
+
 @query("knn_mse", with_fixtures(
     "SELECT ROUND(SUM(ss_res) / SUM(n), 6) AS mse, ROUND(SQRT(SUM(ss_res) / SUM(n)), 6) AS rmse FROM per_pos", COLD_CTES))
 def knn_mse(spark, sf_dir):
@@ -172,5 +205,5 @@ def factor_dedup(spark, sf_dir):
     songs = fx.songs(spark, sf_dir).select("track_id", "artist_id")
     joined = fx.item_factors(spark, sf_dir).join(songs, F.col("id") == F.col("track_id")).select(
         "artist_id", "track_id", "features")
-    kept = coldstart.one_per_key(joined, "artist_id", "track_id")
+    kept = coldstart.dedup_by_id(joined, "artist_id", "track_id")
     return kept.select("artist_id", "track_id", F.col("features")[0].cast("double").alias("f0"))

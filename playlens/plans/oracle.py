@@ -85,7 +85,26 @@ _FMIX1, _FMIX2 = 0x85EBCA6B, 0xC2B2AE35
 _SEED = 42
 
 
-def murmur3_bigint(expr: str) -> str:
+def murmur3_of(value: int, seed: int = _SEED) -> int:
+    """Spark's ``hash`` of a BIGINT value as an unsigned number (the start of a hash over more columns)."""
+    h = seed % _M32
+    for word in (value % _M32, value % 2**64 // _M32):
+        k = word * _C1 % _M32
+        k = (k << 15 | k >> 17) % _M32 * _C2 % _M32
+        h ^= k
+        h = ((h << 13 | h >> 19) % _M32 * 5 + _MIX_ADD) % _M32
+    h ^= 8
+    h = (h ^ h >> 16) * _FMIX1 % _M32
+    h = (h ^ h >> 13) * _FMIX2 % _M32
+    return h ^ h >> 16
+
+
+def seeded_unit_bigint(expr: str, seed: int) -> str:
+    """DuckDB form of ``keys.seeded_unit`` for a BIGINT key."""
+    return f"((CAST({murmur3_bigint(expr, murmur3_of(seed))} AS BIGINT) + 2147483648) / 4294967296.0)"
+
+
+def murmur3_bigint(expr: str, seed: int = _SEED) -> str:
     """DuckDB expression equal to Spark's ``hash(expr)`` for a BIGINT ``expr`` (INTEGER result).
 
     Built as nested scalar steps; every value stays in [0, 2^32) and products go through HUGEINT.
@@ -115,7 +134,7 @@ def murmur3_bigint(expr: str) -> str:
         h1 = step("h", rotl("h", 13), xor(h, k2))
         return f"CAST(({h1}) * 5 + {_MIX_ADD} AS BIGINT) % {_M32}"
 
-    h = block(str(_SEED), lo)
+    h = block(str(seed), lo)
     h = block(h, hi)
     h = step("h", xor("h", "h // 65536"), xor(h, "8"))
     h = step("h", xor("h", "h // 8192"), mul(h, _FMIX1))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from playlens.functions.keys import with_hash_ids
 from playlens.functions.positions import positions
 from playlens.operators import metrics, recommend
-from playlens.plans.oracle import with_fixtures
+from playlens.plans.oracle import murmur3_bigint, with_fixtures
 from playlens.plans.registry import query
 from playlens.sources import fixtures as fx
 
@@ -25,9 +25,10 @@ POPULAR_SQL = f"""
           ORDER BY diff_plays DESC, track_id LIMIT {TOP_N}) t"""
 
 
-def metrics_sql(recs_sql: str, truth_sql: str, select: str) -> str:
-    """Ranking metrics in SQL: hits by join, ideal DCG from a prefix sum over 1..k."""
+def metrics_sql(recs_sql: str, truth_sql: str, select: str, before: tuple = ()) -> str:
+    """Ranking metrics in SQL: hits by join, ideal DCG from a prefix sum over 1..k; ``before``: CTEs of recs_sql."""
     ctes = [
+        *before,
         ("recs", recs_sql),
         ("truth_d", f"SELECT DISTINCT user_id, track_id FROM ({truth_sql}) t"),
         ("n_truth", "SELECT user_id, COUNT(*) AS ns FROM truth_d GROUP BY user_id"),
@@ -140,6 +141,31 @@ def als_factors(spark, sf_dir):
     return model.itemFactors.select("id", F.posexplode("features").alias("pos", "value"))
 
 
+@query("als_factor_index", with_fixtures(f"""
+    SELECT id, CAST(pos AS INTEGER) AS pos
+    FROM (SELECT DISTINCT {murmur3_bigint('track_id')} AS id FROM train) t CROSS JOIN range(0, 10) r(pos)"""))
+def als_factor_index(spark, sf_dir):
+    """The factor cells a fit must give: one per trained item and factor."""
+    return als_factors(spark, sf_dir).where("value is not null").select("id", "pos")
+
+
+@query("als_rec_lengths", with_fixtures(f"""
+    SELECT {murmur3_bigint('user_id')} AS user_hashId, LEAST({TOP_N}, (SELECT COUNT(DISTINCT track_id) FROM train)) AS n_items
+    FROM (SELECT DISTINCT user_id FROM val WHERE user_id IN (SELECT user_id FROM train)) u"""))
+def als_rec_lengths(spark, sf_dir):
+    """Users with recommendations and how many distinct items each gets."""
+    return als_rec_ids(spark, sf_dir).groupBy("user_hashId").agg(F.countDistinct("track_hashId").alias("n_items"))
+
+
+@query("val_user_factors", with_fixtures("""
+    SELECT id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS pos, CAST(unnest(features) AS DOUBLE) AS value
+    FROM user_factors WHERE id IN (SELECT id FROM val_users)"""))
+def val_user_factors(spark, sf_dir):
+    """Factors of the users on the validation list, as cells."""
+    users = fx.user_factors(spark, sf_dir).join(fx.val_users(spark, sf_dir), "id", "left_semi")
+    return users.select("id", F.posexplode("features").alias("pos", "value")).withColumn("value", F.col("value").cast("double"))
+
+
 @query("als_rec_ids")
 def als_rec_ids(spark, sf_dir):
     """Top-500 ALS recommendations for the validation users, long form."""

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from playlens.functions import keys
 from playlens.operators import downsample, stats
-from playlens.plans.oracle import murmur3_bigint, with_fixtures
+from playlens.plans.oracle import murmur3_bigint, seeded_unit_bigint, with_fixtures
 from playlens.plans.registry import query
 from playlens.session import ensure_checkpoint_dir
 from playlens.sources import fixtures as fx
-from playlens.sources.tables import read_usage_csv
+from playlens.sources.sinks import write_csv
+from playlens.sources.tables import ITEM_USAGE_BIGINT, read_usage_csv
 
 # Fixed values of the evaluated jobs: share cutoff, nominal size, random sample, listener thresholds.
 SHARE_CUTOFF = 0.5      # head items holding half of the rows
@@ -58,9 +59,27 @@ def csv_roundtrip(spark, sf_dir):
     """Item usage written as headerless CSV to the shared checkpoint folder and read back by schema."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/item_usage_csv/{uuid.uuid4().hex}"
     _usage(spark, sf_dir).orderBy(F.col("unique_plays").desc(), "track_id").write.mode("overwrite").csv(path)
+    return read_usage_csv(spark, path, ITEM_USAGE_BIGINT)
+
+
+@query("csv_roundtrip_strings", with_fixtures(f"""
+    SELECT 'TR' || track_id AS track_id, unique_plays, total_plays FROM ({USAGE_SQL}) u"""))
+def csv_roundtrip_strings(spark, sf_dir):
+    """The same with string item ids, the readers' default."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/item_usage_csv/{uuid.uuid4().hex}"
+    usage = _usage(spark, sf_dir).withColumn("track_id", F.concat(F.lit("TR"), F.col("track_id").cast("string")))
+    write_csv(usage, path)
     return read_usage_csv(spark, path)
 
 
+@query("downsample_random_other_seed", with_fixtures(f"""
+    SELECT user_id, count, track_id FROM train
+    WHERE {seeded_unit_bigint('track_id', SAMPLE_SEED + 1)} < {SAMPLE_FRACTION}"""))
+def downsample_random_other_seed(spark, sf_dir):
+    return downsample.downsample_random_items(fx.train(spark, sf_dir), SAMPLE_FRACTION, SAMPLE_SEED + 1).select(
+        "user_id", "count", "track_id")
+
+
 @query("distinct_items", with_fixtures("SELECT DISTINCT track_id FROM train"))
 def distinct_items(spark, sf_dir):
     return stats.distinct_items(fx.train(spark, sf_dir))
@@ -171,7 +190,7 @@ def downsample_top_n(spark, sf_dir):
 
 @query("downsample_random", with_fixtures(f"""
     SELECT user_id, count, track_id FROM train
-    WHERE (({murmur3_bigint(f'track_id + {SAMPLE_SEED}')} % 10000) + 10000) % 10000 < {int(SAMPLE_FRACTION * 10000)}"""))
+    WHERE {seeded_unit_bigint('track_id', SAMPLE_SEED)} < {SAMPLE_FRACTION}"""))
 def downsample_random(spark, sf_dir):
     return downsample.downsample_random_items(fx.train(spark, sf_dir), SAMPLE_FRACTION, SAMPLE_SEED).select(
         "user_id", "count", "track_id")
@@ -193,8 +212,7 @@ def train_users_in_val_inner(spark, sf_dir):
 @query("users_in_val_count", with_fixtures("""
     SELECT COUNT(*) AS n_rows, COUNT(DISTINCT t.user_id) AS n_users FROM train t INNER JOIN val v ON t.user_id = v.user_id"""))
 def users_in_val_count(spark, sf_dir):
-    rows = downsample.restrict_to_users_repeated(fx.train(spark, sf_dir), fx.val(spark, sf_dir))
-    return rows.agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
+    return downsample.repeated_row_counts(fx.train(spark, sf_dir), fx.val(spark, sf_dir))
 
 
 @query("item_dense_ids", with_fixtures(
@@ -207,7 +225,7 @@ def item_dense_ids(spark, sf_dir):
     SELECT (SELECT COUNT(*) FROM train) AS n_rows_before, COUNT(*) AS n_rows_after,
            (SELECT COUNT(DISTINCT track_id) FROM train) AS n_items_before, COUNT(DISTINCT track_id) AS n_items_after
     FROM train
-    WHERE (({murmur3_bigint(f'track_id + {SAMPLE_SEED}')} % 10000) + 10000) % 10000 < {int(SAMPLE_FRACTION * 10000)}"""))
+    WHERE {seeded_unit_bigint('track_id', SAMPLE_SEED)} < {SAMPLE_FRACTION}"""))
 def downsample_random_sizes(spark, sf_dir):
     """Rows and items before and after the random item sample (one aggregate each side)."""
     train = fx.train(spark, sf_dir)

@@ -10,14 +10,14 @@ TEST_TABLES = (
     "benchmark labels conversations"
 ).split()
 
-# Headerless per-item usage CSV (item id, distinct listeners, total plays).
-ITEM_USAGE_SCHEMA = T.StructType(
-    [
-        T.StructField("track_id", T.LongType()),
-        T.StructField("unique_plays", T.LongType()),
-        T.StructField("total_plays", T.LongType()),
-    ]
-)
+def usage_schema(id_type: T.DataType) -> T.StructType:
+    """Headerless per-item usage CSV (item id, distinct listeners, total plays)."""
+    counts = [T.StructField("unique_plays", T.LongType()), T.StructField("total_plays", T.LongType())]
+    return T.StructType([T.StructField("track_id", id_type), *counts])
+
+
+ITEM_USAGE_SCHEMA = usage_schema(T.StringType())
+ITEM_USAGE_BIGINT = usage_schema(T.LongType())
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,8 +42,12 @@ def read_parquet_dir(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_usage_csv(spark: SparkSession, path: str, schema: T.StructType = ITEM_USAGE_SCHEMA) -> DataFrame:
-    """Headerless CSV directory with given column names and types (no inference pass)."""
-    return spark.read.schema(schema).option("header", "false").csv(path)
+    """Headerless CSV directory with given column names and types (no inference pass).
+
+    Item ids are strings unless the caller's schema says otherwise; a value that does not fit the schema
+    stops the read instead of becoming null.
+    """
+    return spark.read.schema(schema).option("header", "false").option("mode", "FAILFAST").csv(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str], partition_column: str | None = None,

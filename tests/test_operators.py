@@ -152,7 +152,7 @@ def test_parquet_and_csv_round_trip(spark, tmp_path):
 
     df = spark.createDataFrame([(i, i * 2, i * 3) for i in range(50)], "track_id long, unique_plays long, total_plays long")
     sinks.write_csv(df, str(tmp_path / "csv"))
-    back = tables.read_usage_csv(spark, str(tmp_path / "csv"))
+    back = tables.read_usage_csv(spark, str(tmp_path / "csv"), tables.ITEM_USAGE_BIGINT)
     assert back.exceptAll(df).count() == 0 and back.count() == 50
     sinks.write_slices(df, str(tmp_path / "pq"), 10)
     again = tables.read_parquet_dir(spark, str(tmp_path / "pq"))
@@ -229,6 +229,52 @@ def test_split_is_a_partition_of_ids(spark):
     assert 1500 < train.count() < 1700
 
 
+def test_split_and_sample_take_any_key(spark):
+    thousands = spark.range(0, 2000).select((F.col("id") * 1000 + 5_000_000_000).alias("id"))
+    train, _ = coldstart.split(thousands, 0.8)
+    assert 1500 < train.count() < 1700
+    other, _ = coldstart.split(thousands, 0.8, seed=7)
+    assert train.join(other, "id", "left_semi").count() < train.count()
+    names = spark.range(0, 4000).select(F.concat(F.lit("TR"), F.col("id")).alias("track_id"))
+    a, b = (set(downsample.sample_items(names, 0.25, seed=s).toPandas().track_id) for s in (0, 1))
+    assert 800 < len(a) < 1200 and len(a & b) < 0.5 * len(a)
+    many = spark.range(0, 3_000_000).withColumnRenamed("id", "track_id")
+    assert 0 < downsample.downsample_random_items(many, 1e-5).count() < 100
+
+
+def test_csv_with_string_ids_and_bad_rows(spark, tmp_path):
+    from playlens.sources import sinks, tables
+
+    df = spark.createDataFrame([("TR1", 1, 2), ("TR2", 3, 4)], "track_id string, unique_plays long, total_plays long")
+    sinks.write_csv(df, str(tmp_path / "s"))
+    assert tables.read_usage_csv(spark, str(tmp_path / "s")).exceptAll(df).count() == 0
+    with pytest.raises(Exception):
+        tables.read_usage_csv(spark, str(tmp_path / "s"), tables.ITEM_USAGE_BIGINT).collect()
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 7, 64, 500])
+def test_equal_rows_tie_to_the_lower_id_in_any_chunk(chunk):
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(40, 33)) * 300
+    v = np.concatenate([base, base, base])
+    ids = rng.permutation(len(v)).astype(np.int64)
+    u = rng.normal(size=(5, 33))
+    rows, got, scores, _ = recommend.stream_top_k(u, v, ids, 30, chunk)
+    for k in range(5):
+        exact = (u[[k]] * v).sum(1)
+        want = ids[np.lexsort((ids, -exact))[:30]]
+        assert got[rows == k].tolist() == want.tolist()
+    near = np.concatenate([base + 1e-6, base, base])
+    d, best = recommend.stream_nearest(base, near, ids, chunk)
+    assert (d == 0).all() and best.tolist() == np.minimum(ids[40:80], ids[80:]).tolist()
+
+
+def test_r2_of_a_constant_target_that_is_met(spark):
+    rows = spark.createDataFrame([([float(i)], [5.1]) for i in range(20)], "x array<double>, features array<double>")
+    model = [("ridge", 1.0, np.zeros((1, 1)), np.array([5.1]))]
+    assert coldstart.evaluate_linear(rows, model, centre=np.array([4.7])).first()["r2"] == 1.0
+
+
 def test_max_records_slices_keep_every_row(spark, tmp_path):
     from playlens.sources import sinks, tables
 
