@@ -8,6 +8,8 @@ histogram is small enough to window over in one task and to broadcast back to th
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,21 +135,41 @@ def share_at_most(usage: DataFrame, value_col: str = "unique_plays", max_value:
     )
 
 
+def exact_quantiles(df: DataFrame, value_col: str, probs: list[float]) -> DataFrame:
+    """One row ``_q``: the interpolated quantiles of the values that are not null (nulls if there are none).
+
+    Values are numbered by ``positions`` (range sort, so no task holds them all); only the rows at the two
+    ranks around each quantile are read back.
+    """
+    values = df.select(F.col(value_col).cast("double").alias("_v")).where("_v is not null")
+    ranked = positions(values, [F.col("_v").asc()], name="_pos")
+    n = ranked.count()
+    ranks = [p * max(n - 1, 0) for p in probs]
+    needed = sorted({f(r) + 1 for r in ranks for f in (math.floor, math.ceil)})
+    found = ranked.where(F.col("_pos").isin(needed)).agg(
+        *[F.max(F.when(F.col("_pos") == k, F.col("_v"))).alias(f"r{k}") for k in needed])
+
+    def between(r: float) -> Column:
+        lo, part = math.floor(r), r - math.floor(r)
+        low, high = F.col(f"r{lo + 1}"), F.col(f"r{math.ceil(r) + 1}")
+        return low if part == 0 else F.when(low == high, low).otherwise((1 - part) * low + part * high)
+
+    return found.select(F.array(*[between(r) for r in ranks]).alias("_q"))
+
+
 def quantiles(df: DataFrame, value_col: str, probs: list[float], out_col: str = "value",
               approx_accuracy: int | None = None) -> DataFrame:
     """Quantiles, nulls ignored; one row per p.
 
-    Exact by default, with linear interpolation (NumPy's default). Spark's ``percentile`` keeps a
-    value -> frequency map, so its memory follows the number of distinct values, not the number of
-    rows. With ``approx_accuracy``, ``percentile_approx`` (a mergeable sketch) returns actual
+    Exact by default, with linear interpolation (NumPy's default), from the two rows around each rank
+    of a range sort (``exact_quantiles``). With ``approx_accuracy``, ``percentile_approx`` (a mergeable sketch) returns actual
     values within 1/accuracy rank error.
     """
     probs_col = F.array(*[F.lit(float(p)) for p in probs])
     if approx_accuracy:
-        arr = F.percentile_approx(F.col(value_col), probs_col, approx_accuracy).cast("array<double>")
+        row = df.agg(F.percentile_approx(F.col(value_col), probs_col, approx_accuracy).cast("array<double>").alias("_q"))
     else:
-        arr = F.percentile(F.col(value_col), probs_col)
-    row = df.agg(arr.alias("_q"))
+        row = exact_quantiles(df, value_col, probs)
     return row.select(
         F.posexplode(F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("_q").alias("v")))
     ).select(F.col("col.p").alias("p"), F.round(F.col("col.v"), 6).alias(out_col))
@@ -155,7 +177,7 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], out_col: str =
 
 def quantile_column(df: DataFrame, value_col: str, probs: list[float]) -> Column:
     """Scalar-subquery column holding the quantile array (usable on any DataFrame, no join)."""
-    return df.agg(F.percentile(F.col(value_col), F.array(*[F.lit(float(p)) for p in probs]))).scalar()
+    return exact_quantiles(df, value_col, probs).scalar()
 
 
 def quartile_band(df: DataFrame, value_col: str = "duration", out_col: str = "quartile") -> DataFrame:

@@ -151,3 +151,13 @@ def lyrics_words(spark, sf_dir):
 @query("distinct_words", with_fixtures("SELECT track_id, COUNT(DISTINCT word) AS numwords FROM lyrics GROUP BY track_id"))
 def distinct_words(spark, sf_dir):
     return features.distinct_words(fx.lyrics(spark, sf_dir))
+
+
+@query("artist_top_term_strict", with_fixtures("""
+    SELECT artist_id, term, term_count FROM (
+        SELECT a.artist_id, a.term, c.term_count,
+               ROW_NUMBER() OVER (PARTITION BY a.artist_id ORDER BY c.term_count DESC, a.term) AS r
+        FROM artist_term a JOIN (SELECT term, COUNT(*) AS term_count FROM artist_term GROUP BY term) c ON a.term = c.term) s
+    WHERE r = 1"""))
+def artist_top_term_strict(spark, sf_dir):
+    return features.artist_top_term_strict(fx.artist_term(spark, sf_dir)).select("artist_id", "term", "term_count")

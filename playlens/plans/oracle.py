@@ -31,7 +31,9 @@ FIXTURE_SQL: dict[str, str] = {
                1960 + p_size AS year
         FROM part""",
     "artist_term": """
-        SELECT DISTINCT CONCAT(p_brand, '/', p_type) AS artist_id, p_name AS term FROM part WHERE p_size <= 10""",
+        SELECT DISTINCT artist_id, term
+        FROM (SELECT CONCAT(p_brand, '/', p_type) AS artist_id, CASE WHEN p_brand <> 'Brand#11' THEN p_name END AS term FROM part) x
+        WHERE term IS NOT NULL""",
     "user_factors": "SELECT vec_id AS id, embedding AS features FROM embeddings WHERE vec_id % 4 = 0",
     "item_factors": "SELECT vec_id AS id, embedding AS features FROM embeddings WHERE vec_id % 4 <> 0",
     "val_users": "SELECT DISTINCT vec_id AS id FROM embeddings WHERE vec_id % 8 = 0",

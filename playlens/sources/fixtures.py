@@ -20,7 +20,7 @@ TRAIN_VAL_MODULUS = 5      # o_orderkey % 5 = 0 -> validation, otherwise train
 FACTOR_MODULUS = 4         # vec_id % 4 = 0 -> user factors, otherwise item factors
 VAL_USER_MODULUS = 8       # vec_id % 8 = 0 -> validation users
 NULL_DURATION_EVERY = 97   # every 97th song has no duration
-TERM_MAX_SIZE = 10         # artist terms only from parts with p_size <= 10
+NO_TERM_BRAND = "Brand#11"  # artists of this brand have no term
 
 
 def interactions(spark: SparkSession, sf_dir: str, split: str | None = None) -> DataFrame:
@@ -72,12 +72,10 @@ def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artist_term(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (artist, term) of all parts; a term is null, and so left out, for one brand's artists."""
     part = read_table(spark, sf_dir, "part")
-    return (
-        part.filter(F.col("p_size") <= TERM_MAX_SIZE)
-        .select(_artist(part).alias("artist_id"), F.col("p_name").alias("term"))
-        .distinct()
-    )
+    term = F.when(F.col("p_brand") != NO_TERM_BRAND, F.col("p_name"))
+    return part.select(_artist(part).alias("artist_id"), term.alias("term")).where("term is not null").distinct()
 
 
 def _factors(spark: SparkSession, sf_dir: str, users: bool) -> DataFrame:
