@@ -43,6 +43,7 @@ _CACHE_WORDS = 200_000
 _BATCH_CHARS = 1_000_000
 
 
+_NO_PIECES = (np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1), np.zeros(1 << 16, bool))
 _MULT = 0x9E3779B97F4A7C15
 
 
@@ -85,8 +86,10 @@ class Vocabulary:
                 hashes = hashes * np.uint64(_MULT) + points[:, k] + np.uint64(1)
             hashes = mix(hashes)
             order = np.argsort(hashes)
+            maybe = np.zeros(1 << 16, bool)  # top bits that some piece has: spares most searches
+            maybe[hashes >> np.uint64(48)] = True
             self.by_length[size] = (hashes[order], np.array([self.edge[p][0] for p in own], np.int64)[order],
-                                    np.array([self.edge[p][1] for p in own])[order])
+                                    np.array([self.edge[p][1] for p in own])[order], maybe)
 
         self.longest = max(self.by_length, default=1)
 
@@ -139,19 +142,23 @@ class Lattices:
                 break
             run = run[: n - length + 1] * np.uint64(_MULT) + points[length - 1 :] + np.uint64(1)
             at = np.flatnonzero(left[: n - length + 1] >= length)
-            hashes, ids, logp = self.vocab.by_length.get(length, (np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1)))
+            if length > 1 and length not in self.vocab.by_length:
+                continue
+            hashes, ids, logp, maybe = self.vocab.by_length.get(length, _NO_PIECES)
             own = mix(run[at])
+            likely = maybe[own >> np.uint64(48)]
+            rest, at, own = at[~likely], at[likely], own[likely]
             k = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
             hit = hashes[k] == own
             if length == 1:
-                bare = at[~hit]  # characters without a piece go by their bytes
+                bare = np.concatenate([rest, at[~hit]])  # characters without a piece go by their bytes
                 raw = points[bare].astype(np.int64)
                 width = 1 + (raw > 0x7F) + (raw > 0x7FF) + (raw > 0xFFFF)
                 table = np.array([self.vocab.byte_id.get(b, 0) for b in range(128)])
                 hits.append((bare, 1, np.where(raw < 128, table[np.minimum(raw, 127)], -1 - raw), UNKNOWN_LOGP * width))
                 count[bare] += 1
-            at = at[hit]
-            hits.append((at, length, ids[k[hit]], logp[k[hit]]))
+            at, k = at[hit], k[hit]
+            hits.append((at, length, ids[k], logp[k]))
             count[at] += 1
         first = np.cumsum(count) - count
         total = int(count.sum())
