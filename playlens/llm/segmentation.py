@@ -107,7 +107,7 @@ class Vocabulary:
 
 
 class Lattices:
-    """Flat edge lists of all words seen: per edge its code, end node, conditional log-probability.
+    """Flat edge lists of all words seen: per edge its code, nodes, conditional log-probability.
 
     Nodes of a word are consecutive; ``first[node]`` is its first edge, the longest. ``cdf`` is the
     running probability of a node's edges in 2**-32, so a draw looks at little more than one edge.
@@ -117,14 +117,15 @@ class Lattices:
         self.vocab, self.root = vocab, {}
         self.nodes = self.size = 0
         self.code, self.next, self.cdf, self.first = (np.zeros(1024, np.int64) for _ in range(4))
-        self.logp = np.zeros(1024)
+        self.logp, self.of = np.zeros(1024), np.zeros(1024, np.int64)
 
     def _room(self, nodes: int, edges: int) -> None:
         """Arrays double when full; ``first`` has one entry past the last node."""
         if nodes + 1 > len(self.first):
             self.first = np.concatenate([self.first, np.zeros(nodes + 1, np.int64)])
         if edges > len(self.code):
-            self.code, self.next, self.cdf = (np.concatenate([x, np.zeros(edges, np.int64)]) for x in (self.code, self.next, self.cdf))
+            self.code, self.next, self.cdf, self.of = (
+                np.concatenate([x, np.zeros(edges, np.int64)]) for x in (self.code, self.next, self.cdf, self.of))
             self.logp = np.concatenate([self.logp, np.zeros(edges)])
 
     def add(self, words: list[str]) -> None:
@@ -195,7 +196,7 @@ class Lattices:
         self.nodes, self.size = base + n, had + total
         self._room(self.nodes, self.size)
         new = slice(had, self.size)
-        self.code[new], self.logp[new], self.cdf[new] = code, logp, bits
+        self.code[new], self.logp[new], self.cdf[new], self.of[new] = code, logp, bits, node + base
         self.next[new] = np.where(final, -1, target + base)
         self.first[base : self.nodes] = first + had
         self.first[self.nodes] = self.size
@@ -203,10 +204,7 @@ class Lattices:
             self.root[word] = at
 
     def edges(self, node: int) -> range:
-        return range(int(self.first[node]), int(self.first[node + 1]))
-
-    def node_of(self, edge: int) -> int:
-        return int(np.searchsorted(self.first[: self.nodes], edge, "right")) - 1
+        return range(self.first.item(node), self.first.item(node + 1))
 
 
 def _drawn(lat: Lattices, roots: np.ndarray, keys: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
@@ -258,7 +256,7 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
 
     ``draw(j)`` gives (edges, offsets) of the j-th drawn path of the text's words.
     """
-    logp = lat.logp
+    logp, weight, after = lat.logp, lat.logp.item, lat.next.item  # single values as Python numbers
     top = -math.log(-math.log(rng.random() or 1e-300))  # the best of a set of total mass 1
     edges, _ = draw(0)
     out = [(edges, float(logp[edges].sum()), top)]
@@ -283,10 +281,9 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
             # Split into the siblings of the path's next edge and what follows that edge.
             own, own_logp = out[path][0], out[path][1]
             while True:
-                e = int(own[step])
-                node = lat.node_of(e)
-                ahead = mass + lat.logp[e]
-                sets = [(mass + lat.logp[c], c) for c in lat.edges(node) if c != e]
+                e = own.item(step)
+                ahead = mass + weight(e)
+                sets = [(mass + weight(c), c) for c in lat.edges(lat.of.item(e)) if c != e]
                 left = _minus(ahead, own_logp) if step + 1 < len(own) else -math.inf
                 if sets or left == -math.inf:
                     break
@@ -307,18 +304,18 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
                 push(v, path, *((step + 1, ahead, None) if c is None else (step, m, c)))
             continue
         head = [*out[path][0][:step].tolist(), edge]
-        node = lat.next[edge]
+        node = after(edge)
         while node >= 0:  # the rest of the word
             u, run, es = rng.random(), 0.0, lat.edges(node)
             e = es[-1]
             for c in es:
-                run += math.exp(lat.logp[c])
+                run += math.exp(weight(c))
                 if run >= u:
                     e = c
                     break
             head.append(e)
-            node = lat.next[e]
-        done = sum(1 for e in head if lat.next[e] < 0)  # words complete so far
+            node = after(e)
+        done = sum(1 for e in head if after(e) < 0)  # words complete so far
         fresh, offsets = draw(len(out))
         found = np.concatenate([np.array(head, np.int64), fresh[offsets[done] :]])
         out.append((found, float(logp[found].sum()), -value))
