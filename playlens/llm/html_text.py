@@ -8,8 +8,13 @@ has such a container, nothing outside it is main text. Lines inside containers t
 menus, headers, footers, sidebars, notices, adverts, forms or comments are deleted also on pages that
 have no neighbour.
 
-The order is cut into ranges whose end rows are also sent to the range beside them, so a host of any size
-is spread over tasks. Pages with the same path on a host are versions of one page and are not compared.
+Rows with the same path and query (tracking parameters aside) are copies or versions of one page. Each is
+compared with the nearest rows of another page, and with the nearest rows of another path, before and
+after the whole run. Rows with equal lines are copies, and rows of one path that differ in the query and
+share ``VERSION`` of their text are versions; neither are compared.
+
+The order is cut into ranges whose outer pages are also sent to the ranges that need them, so a host of any
+size is spread over tasks. A task keeps its rows on its own disk while it reads the neighbours of each.
 
 Defined cases: a null html gives an empty text; a null or odd URL is a host of its own text; rows that
 repeat each give their text; other columns are ignored; no rows give no rows.
@@ -17,8 +22,11 @@ repeat each give their text; other columns are ignored; no rows give no rows.
 
 from __future__ import annotations
 
+import hashlib
 import html
+import pickle
 import re
+import tempfile
 from bisect import bisect_right
 
 import pyarrow as pa
@@ -44,6 +52,7 @@ _MARKS = frozenset(
     "search complementary contentinfo form".split())
 
 CHROME, PLAIN, ARTICLE = 0, 1, 2
+VERSION = 0.9  # share of equal text from which rows of one path are versions of a page
 
 
 def lines_of(page: str) -> list[tuple[int, str]]:
@@ -175,83 +184,184 @@ def common_lines(a: list, b: list, cells: int = 1 << 26) -> list[tuple[int, int]
     return sorted(out)
 
 
+# Parameters that say where a visitor came from and never which page is meant.
+_TRACKING = r"(?i)(?:^|&)(?:utm_[a-z_]*|ref|referrer|fbclid|gclid|msclkid|mc_cid|mc_eid|sessionid|sid|phpsessid|jsessionid)(?:=[^&]*)?(?=&|$)"
+
+
 def _order_key(url, page_id):
-    """host and path without query, fragment, ending slash or .html; then the id."""
-    bare = F.regexp_replace(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://|[?#].*$", "")
-    host = F.lower(F.substring_index(bare, "/", 1))
-    path = F.regexp_replace(bare, r"^[^/]*", "")
+    """host, path without ending slash or .html, query without tracking parameters; then the id."""
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://|#.*$", ""), "\x01", "")
+    address = F.substring_index(bare, "?", 1)
+    host = F.lower(F.substring_index(address, "/", 1))
+    path = F.regexp_replace(address, r"^[^/]*", "")
     path = F.regexp_replace(F.regexp_replace(path, r"/+$", ""), r"\.html?$", "")
-    return F.concat_ws("\x01", host, path, F.lpad(F.coalesce(page_id.cast("string"), F.lit("")), 20, "0"))
+    query = F.regexp_replace(F.regexp_replace(F.regexp_extract(bare, r"\?(.*)$", 1), _TRACKING, ""), r"^&+|&+$", "")
+    return F.concat_ws("\x01", host, path, query, F.lpad(F.coalesce(page_id.cast("string"), F.lit("")), 20, "0"))
+
+
+def _page(k: str) -> str:
+    return k.rsplit("\x01", 1)[0]
+
+
+def _path(k: str) -> str:
+    return k.rsplit("\x01", 2)[0]
+
 
+def _host(k: str) -> str:
+    return k.split("\x01", 1)[0]
 
-def _parsed(starts: list[str], first: list[str], last: list[str]):
-    """Rows (part, own, k, page_id, url, zones, lines): each page in its range, end pages also beside it."""
+
+def _range_ends(batches):
+    """The first and last keys of a sorted range's outer three pages and outer two paths, on each side."""
+    kept = []
+    for size, name in ((3, _page), (2, _path)):
+        kept.append((size, name, [], []))  # runs as [first, last]: the first ones, the last ones
+    for batch in batches:
+        for k in batch.column("k").to_pylist():
+            for size, name, front, back in kept:
+                if back and name(back[-1][1]) == name(k):
+                    back[-1][1] = k
+                else:
+                    back.append([k, k])
+                    if len(front) < size:
+                        front.append(back[-1])
+                    del back[:-size]
+    found = sorted({k for _, _, front, back in kept for run in front + back for k in run})
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.string()))], names=["ks"])
+
+
+def _beside(ranges: list[list[str]]) -> dict[str, list[int]]:
+    """key -> the ranges that need its page as a neighbour: before and after each range three pages and two paths."""
+    out: dict[str, list[int]] = {}
+    for step in (1, -1):
+        held: dict = {_page: [], _path: []}  # keys of the nearest rows of the pages and paths passed, last first
+        host = None
+        for p in range(len(ranges))[::step]:
+            for k in set(held[_page] + held[_path]):
+                out.setdefault(k, []).append(p)
+            for k in ranges[p][::step]:
+                if _host(k) != host:
+                    host, held = _host(k), {_page: [], _path: []}
+                for name, size in ((_page, 3), (_path, 2)):
+                    if held[name] and name(held[name][0]) == name(k):
+                        held[name][0] = k
+                    else:
+                        held[name] = [k, *held[name][: size - 1]]
+    return out
+
+
+def _parsed(starts: list[str], beside: dict[str, list[int]]):
+    """Rows (part, own, k, page_id, url, zones, lines, h): each page in its range, outer pages also beside it."""
 
     def work(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                cols: list[list] = [[] for _ in range(7)]
+                cols: list[list] = [[] for _ in range(8)]
                 part = batch.slice(at, 256)
                 for k, page_id, url, page in zip(*(part.column(c).to_pylist() for c in ("k", "page_id", "url", "html"))):
                     lines = lines_of(page or "")
+                    h = hashlib.blake2b((page or "").encode("utf-8", "surrogatepass"), digest_size=8).digest()
                     p = max(bisect_right(starts, k) - 1, 0)
-                    places = [(p, True)]
-                    if p > 0 and k == first[p]:
-                        places.append((p - 1, False))
-                    if p + 1 < len(starts) and k == last[p]:
-                        places.append((p + 1, False))
-                    for q, own in places:
-                        for c, v in zip(cols, (q, own, k, page_id, url, bytes(z for z, _ in lines), [t for _, t in lines])):
+                    for q, own in [(p, True), *((q, False) for q in beside.get(k, ()))]:
+                        for c, v in zip(cols, (q, own, k, page_id, url, bytes(z for z, _ in lines), [t for _, t in lines], h)):
                             c.append(v)
-                kinds = [pa.int32(), pa.bool_(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.string())]
+                kinds = [pa.int32(), pa.bool_(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.string()), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                                 names=["part", "own", "k", "page_id", "url", "zones", "lines"])
+                                                 names=["part", "own", "k", "page_id", "url", "zones", "lines", "h"])
 
     return work
 
 
-def _main_text(row: dict) -> tuple[str, int, int]:
-    zones = row["zones"]
-    least = ARTICLE if ARTICLE in zones else PLAIN
-    text, shared, marked = [], 0, 0
-    for i, (z, line) in enumerate(zip(zones, row["lines"])):
-        if z != ARTICLE and i in row["shared"]:
-            shared += 1
-        elif z < least:
-            marked += 1
-        else:
-            text.append(line)
-    return "\n".join(text), shared, marked
+def _chars(lines) -> int:
+    return sum(map(len, lines))
 
 
-def _differenced(batches):
-    held = None
+def _alike(a: list[str], b: list[str], share: float, pairs: list | None = None) -> bool:
+    """Whether the common lines are ``share`` of the characters of both."""
+    pairs = common_lines(a, b) if pairs is None else pairs
+    return _chars(a[i] for i, _ in pairs) >= share * max(_chars(a), _chars(b))
+
+
+def _body(row: dict) -> list[str]:
+    """The lines that can be main text."""
+    least = ARTICLE if ARTICLE in row["zones"] else PLAIN
+    return [t for z, t in zip(row["zones"], row["lines"]) if z >= least]
+
+
+def _main_text(row: dict, near: list[dict]) -> tuple[str, int, int]:
+    """Text, lines cut by differencing, lines cut by markup; ``near``: the nearest rows of other pages and paths."""
+    body = _body(row)
+    shared: set[int] = set()
+    for other in near:
+        if ARTICLE in row["zones"] or other["lines"] == row["lines"]:
+            continue
+        pairs = common_lines(body, other["lines"])
+        if _path(other["k"]) == _path(row["k"]) and _alike(body, _body(other), VERSION):
+            continue
+        shared.update(i for i, _ in pairs)
+    return "\n".join(t for i, t in enumerate(body) if i not in shared), len(shared), len(row["lines"]) - len(body)
+
 
-    def done(rows: list[dict]) -> pa.RecordBatch:
-        got = [_main_text(r) for r in rows]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r["page_id"] for r in rows], pa.int64()), pa.array([r["url"] for r in rows], pa.string()),
-             pa.array([g[0] for g in got], pa.string()), pa.array([len(g[0]) for g in got], pa.int64()),
-             pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int64())],
-            names=["page_id", "url", "text", "n_chars", "n_shared", "n_marked"])
+class _Rows:
+    """The rows of a task on its own disk, read back by number; the last few read are kept."""
 
+    def __init__(self):
+        self.file, self.at, self.keys, self.own, self.held = tempfile.TemporaryFile(), [0], [], [], {}
+
+    def add(self, row: dict) -> None:
+        self.keys.append((row["part"], row["k"]))
+        self.own.append(row["own"])
+        self.at.append(self.at[-1] + self.file.write(pickle.dumps(row, 5)))
+
+    def __getitem__(self, i: int) -> dict:
+        if i not in self.held:
+            if len(self.held) >= 16:
+                del self.held[next(iter(self.held))]
+            self.file.seek(self.at[i])
+            self.held[i] = pickle.loads(self.file.read(self.at[i + 1] - self.at[i]))
+        return self.held[i]
+
+    def runs(self, name) -> tuple[list[int], list[int]]:
+        """The run number of each row, rows of one part and ``name(key)`` being a run, and where the runs start."""
+        number, starts, last = [], [], None
+        for i, (part, k) in enumerate(self.keys):
+            if last != (part, name(k)):
+                last = (part, name(k))
+                starts.append(i)
+            number.append(len(starts) - 1)
+        return number, starts + [len(self.keys)]
+
+    def beside(self, i: int, runs: tuple[list[int], list[int]], steps: int) -> list[int]:
+        """Last row of the run ``steps`` before that of row ``i``, first row of the run as far after it; same host."""
+        number, starts = runs
+        places = []
+        if number[i] >= steps:
+            places.append(starts[number[i] - steps + 1] - 1)
+        if number[i] + steps < len(starts) - 1:
+            places.append(starts[number[i] + steps])
+        part, k = self.keys[i]
+        return [j for j in places if self.keys[j][0] == part and _host(self.keys[j][1]) == _host(k)]
+
+
+def _differenced(batches):
+    rows = _Rows()
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            ready = []
             for row in batch.slice(at, 256).to_pylist():
-                row["shared"] = set()
-                row["host"], row["path"] = row["k"].split("\x01")[:2]
-                if held is not None:
-                    if (held["part"], held["host"]) == (row["part"], row["host"]) and held["path"] != row["path"]:
-                        for i, j in common_lines(held["lines"], row["lines"]):
-                            held["shared"].add(i)
-                            row["shared"].add(j)
-                    if held["own"]:
-                        ready.append(held)
-                held = row
-            yield done(ready)
-    if held is not None and held["own"]:
-        yield done([held])
+                rows.add(row)
+    pages, paths = rows.runs(_page), rows.runs(_path)
+    own = [i for i, mine in enumerate(rows.own) if mine]
+    for at in range(0, len(own), 256):
+        out: list[tuple] = []
+        for i in own[at : at + 256]:
+            near = list(dict.fromkeys(rows.beside(i, pages, 1) + rows.beside(i, paths, 1)))
+            row = rows[i]
+            text, shared, marked = _main_text(row, [rows[j] for j in near])
+            out.append((row["page_id"], row["url"], text, len(text), shared, marked))
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                                         names=["page_id", "url", "text", "n_chars", "n_shared", "n_marked"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -259,10 +369,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     parts = 4 * shuffle_partitions(pages.sparkSession)
     page_id, url = F.col(id_col).cast("long"), F.col(url_col).cast("string")
     rows = pages.select(page_id.alias("page_id"), url.alias("url"), F.col(html_col).cast("string").alias("html"), _order_key(url, page_id).alias("k"))
-    # Ends of the ranges: one row per range of a range sort on the keys alone.
-    ends = rows.select("k").repartitionByRange(parts, "k").groupBy(F.spark_partition_id()).agg(
-        F.min("k").alias("first"), F.max("k").alias("last")).collect()
-    first, last = sorted(r["first"] for r in ends), sorted(r["last"] for r in ends)
-    found = rows.mapInArrow(_parsed(first, first, last), "part int, own boolean, k string, page_id long, url string, zones binary, lines array<string>")
-    return found.repartition(parts // 4, "part").sortWithinPartitions("part", "k").mapInArrow(
+    # Ends of the ranges, from the keys alone: at most twenty keys per range reach the driver.
+    ends = rows.select("k").repartitionByRange(parts, "k").sortWithinPartitions("k").mapInArrow(_range_ends, "ks array<string>").collect()
+    ranges = sorted(r["ks"] for r in ends)
+    found = rows.mapInArrow(_parsed([r[0] for r in ranges], _beside(ranges)),
+                            "part int, own boolean, k string, page_id long, url string, zones binary, lines array<string>, h binary")
+    return found.repartition(parts // 4, "part").sortWithinPartitions("part", "k", "h").mapInArrow(
         _differenced, "page_id long, url string, text string, n_chars long, n_shared long, n_marked long")

@@ -61,6 +61,22 @@ def test_differencing_removes_template_lines_without_markup_help(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def test_rows_of_one_path_meet_other_pages(spark):
+    def page(k):
+        return f"<body><div>Our site</div><div>All about us</div><p>story {k} begins</p><p>it ends {k}</p><div>call now</div></body>"
+    rows = [(k, f"https://s.example/index.php?id={k}&utm_source=x", page(k)) for k in range(1, 40)]  # one script path
+    rows += [(100, "https://c.example/a", page(100)), (300, "https://c.example/c", page(300))]
+    rows += [(200 + k, "https://c.example/b?ref=" + "xy"[k % 2], page(200)) for k in range(50)]  # copies of one URL
+    rows += [(400, "https://v.example/a", page(400))]
+    rows += [(500 + k, f"https://v.example/b?v={k}", page(500)) for k in range(30)]  # copies under many queries
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: (r.text, r.n_shared) for r in html_text.main_text(df).collect()}
+    assert len(got) == len(rows)
+    for k, _, page_html in rows:
+        n = re.search(r"story (\d+)", page_html)[1]
+        assert got[k] == (f"story {n} begins\nit ends {n}", 3), k
+
+
 def test_marked_boxes_are_not_main_text():
     page = ('<body><header>H</header><nav>m</nav><script>var t="</p>";</script><div class="ad-box">x</div><article><header><h1>T&amp;x</h1></header>'
             '<p>a<br>b <b>c</b><p class="notice">n<p>d &lt; e<form>f<input></form><div id="comments"><p>cc</div></article><aside>s</aside><footer>f')
