@@ -2,9 +2,11 @@
 
 Pages are ordered by host and URL path, and each page is aligned with the pages before and after it: the
 longest common subsequence of their text lines is what the site's template repeats, and is deleted. Two
-things are known from markup and go first. Lines inside an article container are the page's own text even
-when a neighbour has them too (copied or boilerplate paragraphs), so differencing leaves them; if a page
-has such a container, nothing outside it is main text. Lines inside containers that name themselves as
+things are known from markup and go first. If a page has an article container, nothing outside it is main
+text, and a line inside it goes only on more evidence: the nearest ``SEVERAL`` pages or paths on one side
+all have it in their text too, leaving out copies of this article or of each other (``COPY`` of the text in
+common); a host with fewer on both sides needs all of them, two at least. A paragraph copied from a
+neighbour, and an article copied whole by many, stay. Lines inside containers that name themselves as
 menus, headers, footers, sidebars, notices, adverts, forms or comments are deleted also on pages that
 have no neighbour.
 
@@ -53,6 +55,8 @@ _MARKS = frozenset(
 
 CHROME, PLAIN, ARTICLE = 0, 1, 2
 VERSION = 0.9  # share of equal text from which rows of one path are versions of a page
+SEVERAL = 5  # neighbours in a row, of different articles, that show a line in a container to be the template's
+COPY = 0.5  # share of equal text from which two articles are copies of each other
 
 
 def lines_of(page: str) -> list[tuple[int, str]]:
@@ -212,9 +216,9 @@ def _host(k: str) -> str:
 
 
 def _range_ends(batches):
-    """The first and last keys of a sorted range's outer three pages and outer two paths, on each side."""
+    """The first and last keys of a sorted range's outer pages and outer paths, on each side."""
     kept = []
-    for size, name in ((3, _page), (2, _path)):
+    for size, name in ((SEVERAL + 1, _page), (SEVERAL + 1, _path)):
         kept.append((size, name, [], []))  # runs as [first, last]: the first ones, the last ones
     for batch in batches:
         for k in batch.column("k").to_pylist():
@@ -232,7 +236,7 @@ def _range_ends(batches):
 
 
 def _beside(ranges: list[list[str]]) -> dict[str, list[int]]:
-    """key -> the ranges that need its page as a neighbour: before and after each range three pages and two paths."""
+    """key -> the ranges that need its page as a neighbour: before and after each range the nearest pages and paths."""
     out: dict[str, list[int]] = {}
     for step in (1, -1):
         held: dict = {_page: [], _path: []}  # keys of the nearest rows of the pages and paths passed, last first
@@ -243,7 +247,7 @@ def _beside(ranges: list[list[str]]) -> dict[str, list[int]]:
             for k in ranges[p][::step]:
                 if _host(k) != host:
                     host, held = _host(k), {_page: [], _path: []}
-                for name, size in ((_page, 3), (_path, 2)):
+                for name, size in ((_page, SEVERAL + 1), (_path, SEVERAL + 1)):
                     if held[name] and name(held[name][0]) == name(k):
                         held[name][0] = k
                     else:
@@ -289,17 +293,43 @@ def _body(row: dict) -> list[str]:
     return [t for z, t in zip(row["zones"], row["lines"]) if z >= least]
 
 
-def _main_text(row: dict, near: list[dict]) -> tuple[str, int, int]:
-    """Text, lines cut by differencing, lines cut by markup; ``near``: the nearest rows of other pages and paths."""
+def _template(body: list[str], sides: list[list[dict]]) -> set[int]:
+    """Container lines that all of the nearest ``SEVERAL`` pages on one side have, of articles unlike this one and each other."""
+    known: dict[int, tuple[list[str], set[int] | None]] = {}  # by row: its text, and the lines shared with it unless a copy
+
+    def articles(rows: list[dict]) -> list[int]:
+        kept: list[int] = []
+        for other in rows:
+            n = id(other)
+            if n not in known:
+                lines = _body(other)
+                pairs = common_lines(body, lines)
+                known[n] = lines, None if _alike(body, lines, COPY, pairs) else {i for i, _ in pairs}
+            lines, shared = known[n]
+            if shared is not None and len(kept) < SEVERAL and not any(m == n or _alike(known[m][0], lines, COPY) for m in kept):
+                kept.append(n)
+        return kept
+
+    full = [kept for kept in map(articles, sides) if len(kept) == SEVERAL]
+    if not full:  # a small host: all its other articles, two at least
+        full = [kept for kept in [articles([r for side in sides for r in side])] if len(kept) > 1]
+    return set().union(*(set.intersection(*(known[n][1] for n in kept)) for kept in full))
+
+
+def _main_text(row: dict, sides: list[list[dict]]) -> tuple[str, int, int]:
+    """Text, lines cut by differencing, lines cut by markup; ``sides``: pages, then paths before and after, nearest first."""
     body = _body(row)
     shared: set[int] = set()
-    for other in near:
-        if ARTICLE in row["zones"] or other["lines"] == row["lines"]:
-            continue
-        pairs = common_lines(body, other["lines"])
-        if _path(other["k"]) == _path(row["k"]) and _alike(body, _body(other), VERSION):
-            continue
-        shared.update(i for i, _ in pairs)
+    if ARTICLE in row["zones"]:
+        shared = _template(body, sides)
+    else:
+        for other in {id(side[0]): side[0] for side in sides if side}.values():
+            if other["lines"] == row["lines"]:
+                continue
+            pairs = common_lines(body, other["lines"])
+            if _path(other["k"]) == _path(row["k"]) and _alike(body, _body(other), VERSION):
+                continue
+            shared.update(i for i, _ in pairs)
     return "\n".join(t for i, t in enumerate(body) if i not in shared), len(shared), len(row["lines"]) - len(body)
 
 
@@ -316,7 +346,7 @@ class _Rows:
 
     def __getitem__(self, i: int) -> dict:
         if i not in self.held:
-            if len(self.held) >= 16:
+            if len(self.held) >= 64:
                 del self.held[next(iter(self.held))]
             self.file.seek(self.at[i])
             self.held[i] = pickle.loads(self.file.read(self.at[i + 1] - self.at[i]))
@@ -332,16 +362,13 @@ class _Rows:
             number.append(len(starts) - 1)
         return number, starts + [len(self.keys)]
 
-    def beside(self, i: int, runs: tuple[list[int], list[int]], steps: int) -> list[int]:
-        """Last row of the run ``steps`` before that of row ``i``, first row of the run as far after it; same host."""
+    def sides(self, i: int, runs: tuple[list[int], list[int]]) -> list[list[int]]:
+        """The last rows of the ``SEVERAL`` runs before that of row ``i``, the first rows of those after it; same host."""
         number, starts = runs
-        places = []
-        if number[i] >= steps:
-            places.append(starts[number[i] - steps + 1] - 1)
-        if number[i] + steps < len(starts) - 1:
-            places.append(starts[number[i] + steps])
-        part, k = self.keys[i]
-        return [j for j in places if self.keys[j][0] == part and _host(self.keys[j][1]) == _host(k)]
+        at, (part, k) = number[i], self.keys[i]
+        before = [starts[n + 1] - 1 for n in range(at - 1, max(at - 1 - SEVERAL, -1), -1)]
+        after = [starts[n] for n in range(at + 1, min(at + 1 + SEVERAL, len(starts) - 1))]
+        return [[j for j in side if self.keys[j][0] == part and _host(self.keys[j][1]) == _host(k)] for side in (before, after)]
 
 
 def _differenced(batches):
@@ -355,9 +382,9 @@ def _differenced(batches):
     for at in range(0, len(own), 256):
         out: list[tuple] = []
         for i in own[at : at + 256]:
-            near = list(dict.fromkeys(rows.beside(i, pages, 1) + rows.beside(i, paths, 1)))
-            row = rows[i]
-            text, shared, marked = _main_text(row, [rows[j] for j in near])
+            row, places = rows[i], rows.sides(i, pages) + rows.sides(i, paths)
+            other = {j: rows[j] for side in places for j in side}
+            text, shared, marked = _main_text(row, [[other[j] for j in side] for side in places])
             out.append((row["page_id"], row["url"], text, len(text), shared, marked))
         kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
@@ -369,7 +396,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     parts = 4 * shuffle_partitions(pages.sparkSession)
     page_id, url = F.col(id_col).cast("long"), F.col(url_col).cast("string")
     rows = pages.select(page_id.alias("page_id"), url.alias("url"), F.col(html_col).cast("string").alias("html"), _order_key(url, page_id).alias("k"))
-    # Ends of the ranges, from the keys alone: at most twenty keys per range reach the driver.
+    # Ends of the ranges, from the keys alone: at most 8 * (SEVERAL + 1) keys per range reach the driver.
     ends = rows.select("k").repartitionByRange(parts, "k").sortWithinPartitions("k").mapInArrow(_range_ends, "ks array<string>").collect()
     ranges = sorted(r["ks"] for r in ends)
     found = rows.mapInArrow(_parsed([r[0] for r in ranges], _beside(ranges)),

@@ -77,6 +77,26 @@ def test_rows_of_one_path_meet_other_pages(spark):
         assert got[k] == (f"story {n} begins\nit ends {n}", 3), k
 
 
+@pytest.mark.parametrize("box", ["article", "main"])
+def test_differencing_judges_lines_inside_the_container(spark, box):
+    def page(own, *more):
+        lines = ["Share this story", *own, *more, "Read our newsletter"]
+        return f"<body><div>site</div><{box}>" + "".join(f"<p>{x}</p>" for x in lines) + f"</{box}></body>"
+    own = {k: [f"story {k} begins with its own words", f"and {k} goes on until it ends there"] for k in range(30)}
+    own[7] = [*own[7], "a paragraph that the next page quotes"]
+    own[8] = [*own[8], "a paragraph that the next page quotes"]
+    rows = [(k, f"https://h.example/n/{k:03d}", page(own[k])) for k in own]
+    copied = ["a long story that is copied as a whole by all pages of its host", "and that goes on for a second paragraph"]
+    rows += [(100 + k, f"https://m.example/n/{k:03d}", page(copied, f"copy {k}")) for k in range(6)]
+    rows += [(200 + k, f"https://two.example/n/{k}", page([f"only page {k} says this"])) for k in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: (r.text.split("\n"), r.n_shared, r.n_marked) for r in html_text.main_text(df).collect()}
+    assert {k: got[k] for k in own} == {k: (v, 2, 1) for k, v in own.items()}
+    for k in range(6):
+        assert got[100 + k] == (["Share this story", *copied, f"copy {k}", "Read our newsletter"], 0, 1)
+    assert all(got[200 + k][1] == 0 for k in range(2))  # one neighbour is not enough
+
+
 def test_marked_boxes_are_not_main_text():
     page = ('<body><header>H</header><nav>m</nav><script>var t="</p>";</script><div class="ad-box">x</div><article><header><h1>T&amp;x</h1></header>'
             '<p>a<br>b <b>c</b><p class="notice">n<p>d &lt; e<form>f<input></form><div id="comments"><p>cc</div></article><aside>s</aside><footer>f')
