@@ -8,7 +8,8 @@ all have it in their text too, leaving out copies of this article or of each oth
 common); a host with fewer on both sides needs all of them, two at least. A paragraph copied from a
 neighbour, and an article copied whole by many, stay. Lines inside containers that name themselves as
 menus, headers, footers, sidebars, notices, adverts, forms or comments are deleted also on pages that
-have no neighbour.
+have no neighbour; a name counts only as a whole, a form not if it is the frame of the page's text, and a name
+(unless of comments or related pages) does not hide an article that holds most of the text.
 
 Rows with the same path and query (tracking parameters aside) are copies or versions of one page. Each is
 compared with the nearest rows of another page, and with the nearest rows of another path, before and
@@ -53,12 +54,44 @@ _MARKS = frozenset(
     "comment comments reply replies discussion disqus social share sharing related widget toolbar pagination pager copyright skip banner "
     "search complementary contentinfo form".split())
 
+# Marks of boxes that hold articles which are not the page's.
+_TALK = frozenset("comment comments reply replies discussion disqus related".split())
+# Words that beside a mark leave its meaning ("ad-box", "site-footer"); other words do not ("has-sidebar", "category-social").
+_NEUTRAL = frozenset(
+    "site page main global top bottom left right inner outer box list item items wrapper wrap container block section area bar row col "
+    "column links link buttons button content body text title heading post posts article articles primary secondary js div the".split())
+
 CHROME, PLAIN, ARTICLE = 0, 1, 2
+# Only while a page is read: text of a marked box, of an article in one, of a form, of a form in an article.
+_MARKED, _NESTED, _FORM, _ARTICLE_FORM = 3, 4, 5, 6
+_IN_ARTICLE = (ARTICLE, _NESTED, _ARTICLE_FORM)
 VERSION = 0.9  # share of equal text from which rows of one path are versions of a page
 SEVERAL = 5  # neighbours in a row, of different articles, that show a line in a container to be the template's
 COPY = 0.5  # share of equal text from which two articles are copies of each other
 
 
+def _is_mark(token: str, marks: frozenset) -> bool:
+    """Whether a whole class, id or role token is a mark: mark words with neutral words at most."""
+    words = re.findall("[a-z]+", token)
+    return not marks.isdisjoint(words) and all(w in marks or w in _NEUTRAL for w in words)
+
+
+def _settled(lines: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """Zones CHROME, PLAIN, ARTICLE. A form with more than half of the text is the page's frame, not a box in it; an article in a
+    marked box, or with a mark, is the page's article if it holds more than all other text."""
+    size = [0] * 7
+    for z, line in lines:
+        size[z] += len(line)
+    to = list(range(7))
+    forms = size[_FORM] + size[_ARTICLE_FORM]
+    frame = forms > size[PLAIN] + size[ARTICLE] + size[_NESTED]
+    to[_FORM], to[_ARTICLE_FORM] = (PLAIN, ARTICLE) if frame else (CHROME, CHROME)
+    beside = size[PLAIN] + size[ARTICLE] + forms * frame
+    to[_NESTED] = ARTICLE if size[_NESTED] > beside else CHROME
+    to[_MARKED] = CHROME
+    return [(to[z], line) for z, line in lines]
+
+
 def lines_of(page: str) -> list[tuple[int, str]]:
     """(zone, line) of every non-empty block of text in page order; zones CHROME, PLAIN, ARTICLE."""
     out: list[tuple[int, str]] = []
@@ -105,11 +138,13 @@ def lines_of(page: str) -> list[tuple[int, str]]:
                 end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else size
             continue
-        marks = False
+        marks = talk = False
         if name not in ("body", "html", "main") and "=" in rest:
             for names in _NAMES.findall(rest):
-                words = set(re.split(r"[^a-z]+", "".join(names).lower()))
-                marks = marks or not words.isdisjoint(_MARKS if zone != ARTICLE else _MARKS - {"header"})
+                known = _MARKS if zone not in _IN_ARTICLE else _MARKS - {"header"}
+                tokens = [token for token in "".join(names).lower().split() if _is_mark(token, known)]
+                marks = marks or bool(tokens)
+                talk = talk or any(not _TALK.isdisjoint(re.findall("[a-z]+", token)) for token in tokens)
         box = name in _BOX
         if rest.endswith("/") or not (box or marks) or name in ("hr", "img", "input", "meta", "link", "col", "wbr"):
             continue
@@ -118,14 +153,23 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             if stack and stack[-1][0] == name:
                 stack.pop()
                 zone = stack[-1][1] if stack else PLAIN
-        if zone == CHROME or marks or (name in _CHROME and not (name == "header" and zone == ARTICLE)):
+        article = name in ("article", "main")
+        if zone == CHROME or name in _CHROME and name != "form" and not (name == "header" and zone in _IN_ARTICLE):
             new = CHROME
+        elif zone == _MARKED:
+            new = _NESTED if article else zone
+        elif marks:
+            new = CHROME if talk else _NESTED if article else _MARKED
+        elif name == "form":
+            new = {ARTICLE: _ARTICLE_FORM, PLAIN: _FORM}.get(zone, zone if zone in (_FORM, _ARTICLE_FORM) else CHROME)
+        elif article:
+            new = zone if zone in _IN_ARTICLE else ARTICLE
         else:
-            new = ARTICLE if name in ("article", "main") else zone
+            new = zone
         stack.append((name, new))
         zone = new
     close()
-    return out
+    return _settled(out)
 
 
 def _lengths(a: list[int], b: list[int]) -> list[int]:

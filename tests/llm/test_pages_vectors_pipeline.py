@@ -103,6 +103,26 @@ def test_marked_boxes_are_not_main_text():
     assert [t for z, t in html_text.lines_of(page) if z == html_text.ARTICLE] == ["T&x", "a b c", "d < e"]
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<div class='layout has-sidebar'>", "</div>"), ("<div id='page-with-comments'>", "</div>"), ("<div class='widget'>", "</div>"),
+    ("<form id='aspnetForm'>", "</form>"), ("<main class='no-sidebar'>", "</main>"), ("<div class='no-sidebar'><form>", "</form></div>")])
+@pytest.mark.parametrize("article", ["<article>", "<article class='post category-social'>", "<article class='share'>", "<main>", "<div>"])
+def test_marks_do_not_hide_the_text(start, end, article):
+    close = "</" + article[1:-1].split()[0] + ">"
+    page = f"<body><nav>menu</nav>{start}{article}<h1>title</h1><p>a long story</p><div class='comments'>c</div>{close}<footer>f</footer>{end}</body>"
+    kept = [t for z, t in html_text.lines_of(page) if z != html_text.CHROME]
+    assert kept == (["title", "a long story"] if article != "<div>" or "widget" not in start else [])
+
+
+def test_marks_still_hide_boxes_beside_the_text():
+    story = "<article><p>a story</p><div id='comments'><article class='comment'>c1</article><article>c2</article></div></article>"
+    page = (f"<body>{story}<div class='related'><article>teaser, longer than the story</article></div><div class='site-footer'>f</div>"
+            "<form>a search box, longer than</form></body>")
+    assert [t for z, t in html_text.lines_of(page) if z == html_text.ARTICLE] == ["a story"]
+    plain = "<p>an old page with its text</p><div class='related'><article>teaser</article></div><form>search</form>"
+    assert [t for z, t in html_text.lines_of(plain) if z != html_text.CHROME] == ["an old page with its text"]
+
+
 def vectors(rng, n, d=6):
     rows = []
     for k in range(n):
