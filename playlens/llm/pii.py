@@ -4,10 +4,13 @@
 2. High-recall generators propose looser, overlapping candidates (numbers with other separators, split or
    bracketed addresses, phone numbers without a plus sign).
 3. Every candidate gets format and context features, all small integers. One grouped count over all
-   documents gives the table of distinct feature rows, weighted by how many candidates agree with a base
-   span of their kind (weak labels); its size is bounded by the features' ranges. Boosted depth-two trees
+   documents gives the table of distinct feature rows, weighted by how many candidates have a weak label; its
+   size is bounded by the features' ranges. Where a base span lies the label is whether it is of the
+   candidate's kind. Elsewhere it is whether the candidate's normal form (disguise and separators undone) is
+   valid; forms that also occur in plain prose need their kind's keyword. Boosted depth-two trees
    are fitted to that table on half of the documents, and per kind the least score whose precision on the
-   other half reaches ``PRECISION`` becomes the threshold (none reaches it: nothing is added).
+   other half reaches ``PRECISION``, among all candidates and among those that can be added, becomes the
+   threshold (none reaches it: nothing is added).
 4. The trees become a column expression; candidates above their threshold that overlap no base span and
    no better candidate are added.
 
@@ -172,15 +175,37 @@ def _features(text: Column, c: Column) -> list[Column]:
     ]
 
 
+def _normal(kind: str, m: Column, keyword: Column) -> Column:
+    """Whether ``m``, its disguise undone, is of the kind's own pattern and valid; an open form also needs the kind's keyword before it."""
+    if kind == "email":
+        plain = F.regexp_replace(F.regexp_replace(m, r" ?(?:@|\(at\)|\[at\]) ?| at ", "@"), r" ?(?:\(dot\)|\[dot\]) ?| dot ", ".")
+        return plain.rlike(r"^[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}$") & (m.rlike(r"@|\(at\)|\[at\]") | keyword)
+    if kind == "ip":
+        return _valid(kind, m) & (m.contains("[") | ~m.contains(" ") | keyword)
+    if kind == "phone":
+        return _valid(kind, m) & (m.rlike(r"^(?:\+|00)[1-9]") | keyword)
+    return _valid(kind, m)
+
+
 def _candidates(text: Column, base: Column, loose: Column) -> Column:
-    """Loose candidates with weak label, whether a base span takes their place, and features."""
+    """Loose candidates with weak label, whether a base span takes their place, and features.
+
+    A candidate in a base span's place is labelled by that span's kind, any other by its normal form.
+    """
 
     def one(c: Column) -> Column:
-        return F.struct(
-            c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e"),
-            F.exists(base, lambda b: (b["k"] == c["k"]) & _overlap(b, c)).alias("label"),
-            F.exists(base, lambda b: _overlap(b, c)).alias("taken"),
-            F.array(*[f.cast("int") for f in _features(text, c)]).alias("f"))
+        taken = F.exists(base, lambda b: _overlap(b, c))
+        features = F.array(*[f.cast("int") for f in _features(text, c)])
+
+        def made(t: Column, f: Column) -> Column:
+            normal = F.lit(False)
+            for i, kind in enumerate(KINDS):
+                normal = F.when(c["k"] == i, _normal(kind, c["m"], f[FEATURES.index("keyword")] == 1)).otherwise(normal)
+            same = F.exists(base, lambda b: (b["k"] == c["k"]) & _overlap(b, c))
+            return F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e"),
+                            F.when(t, same).otherwise(normal).alias("label"), t.alias("taken"), f.alias("f"))
+
+        return let(taken, lambda t: let(features, lambda f: made(t, f)))
 
     return F.transform(loose, one)
 
@@ -236,7 +261,7 @@ def _cut(rows: list, slopes: list) -> tuple:
 
 
 def fit(table: list) -> Model:
-    """``table``: (feature row, fit positives, fit negatives, other positives, other negatives)."""
+    """``table``: (feature row, fit positives, fit negatives, other positives, other negatives), of the last two those that can be added."""
     rows = [t[0] for t in table]
     pos, neg = sum(t[1] for t in table), sum(t[2] for t in table)
     if not pos or not neg:
@@ -258,11 +283,11 @@ def fit(table: list) -> Model:
         margin = [m + (lambda s: s[2] if r[s[0]] < s[1] else s[3])(sides[0] if r[f] < cut else sides[1])
                   for m, r in zip(margin, rows)]
     for k in range(len(KINDS)):
-        tp = fp = 0
+        tp = fp = added = wrong = 0
         best = None
         for m, t in sorted(((m, t) for m, t in zip(margin, table) if t[0][0] == k), key=lambda x: -x[0]):
-            tp, fp = tp + t[3], fp + t[4]
-            if tp and tp / (tp + fp) >= PRECISION:
+            tp, fp, added, wrong = tp + t[3], fp + t[4], added + t[5], wrong + t[6]
+            if tp and tp / (tp + fp) >= PRECISION and added >= PRECISION * (added + wrong):
                 best = m
         if best is not None:
             model.threshold[k] = best - 1e-9
@@ -275,10 +300,13 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     counted = docs.select(
         (F.pmod(F.xxhash64(text), F.lit(2)) == 0).alias("fold"),
         F.explode_outer(let(text, lambda t: _parsed(t)["cand"])).alias("c"),
-    ).where("c is not null").groupBy("fold", "c.label", F.col("c.f").alias("f")).agg(F.count("*").alias("n"))
+    ).where("c is not null").groupBy("fold", "c.label", "c.taken", F.col("c.f").alias("f")).agg(F.count("*").alias("n"))
     table: dict = {}
     for r in counted.collect():  # bounded: products of the features' ranges
-        table.setdefault(tuple(r.f), [0, 0, 0, 0])[(0 if r.fold else 2) + (0 if r.label else 1)] += r.n
+        row = table.setdefault(tuple(r.f), [0] * 6)
+        row[(0 if r.fold else 2) + (0 if r.label else 1)] += r.n
+        if not r.fold and not r.taken and r.f[FEATURES.index("valid")]:
+            row[4 if r.label else 5] += r.n
     return fit([(f, *n) for f, n in sorted(table.items())])
 
 

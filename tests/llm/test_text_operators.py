@@ -187,6 +187,25 @@ def test_pii_training_adds_and_redacts(spark):
     assert not again.trees and not again.threshold
 
 
+def test_pii_finds_planted_cases_of_every_generator(spark):
+    cases = [
+        ("email", True, "reach bob{i}(at)host{i}.org today"), ("email", True, "reach bob{i} [at] host [dot] org today"),
+        ("email", True, "mail bob{i} at host dot org today"), ("email", False, "we met{i} at noon dot matrix printers hum"),
+        ("ip", True, "node 10[.]0[.]{i}[.]7 is down"), ("ip", False, "see 3. 1. {i}. 7 in the list"),
+        ("phone", True, "phone 0170 555 {n} now"), ("phone", True, "dial 0044 170 555 {i:02d} now"), ("phone", False, "sold 2019 555 {n} units"),
+        ("card", True, "card 4111/1111/1111/1111 used{i}"), ("card", False, "order 4111/1111/1111/1112 was{i}")]
+    rows = [(i, f"word {i} call +1 (234) 555-{1000 + i} or u{i}@host.org then 10.0.{i}.7 paid 4111111111111111 end") for i in range(120)]
+    rows += [(1000 * (k + 1) + i, text.format(i=i, n=1000 + i)) for k, (_, _, text) in enumerate(cases) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.train(df)
+    found = df.select("doc_id", pii.joined(pii.spans(F.col("text"), model)["spans"]).alias("s")).where("doc_id >= 1000").collect()
+    hits = {}
+    for r in found:
+        kind, real, _ = cases[r.doc_id // 1000 - 1]
+        hits[r.doc_id // 1000 - 1] = hits.get(r.doc_id // 1000 - 1, 0) + (kind in r.s)
+    assert [hits[k] for k in range(len(cases))] == [30 * real for _, real, _ in cases]
+
+
 def test_quality_is_learned_from_rows_not_held_out(spark):
     q = entry.queries()["op1_quality"](spark, SF_SMALL).toPandas().set_index("doc_id")
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet").toPandas()
