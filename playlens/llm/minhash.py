@@ -6,7 +6,7 @@
    miss a pair with probability (1 - 0.75**4)**32 = 5e-6.
 3. In each bucket every class is paired with the bucket's least class. The pairs pass a size test, a
    signature test (estimate at least ``MIN_ESTIMATE``: a pair at 0.75 falls below it with probability
-   1e-5), then the exact test on full sets. Components by alternating large-star and small-star.
+   3e-10), then the exact test on full sets. Components by alternating large-star and small-star.
 4. Buckets that still hold more than one component are compared across components: pairs of blocks of
    members are dealt to tasks, which compare signatures as arrays, then full sets. A pair is tested in its
    first common band only, and not once its ends are joined; only links that join components leave the
@@ -32,7 +32,7 @@ from playlens.llm.components import components
 SHINGLE = 5
 HASHES = 128
 BANDS = 32
-MIN_ESTIMATE = 0.58
+MIN_ESTIMATE = 0.50
 BLOCK = 2048  # members of a block, fewer if their sets pass BLOCK_SHINGLES
 BLOCK_SHINGLES = 4_000_000
 

@@ -117,6 +117,13 @@ def cut(rows):
     return out
 
 
+def test_signature_test_misses_far_less_than_banding():
+    n, least = minhash.HASHES, math.ceil(minhash.MIN_ESTIMATE * minhash.HASHES)
+    signature = sum(math.comb(n, k) * 0.75**k * 0.25 ** (n - k) for k in range(least))
+    banding = (1 - 0.75 ** (n // minhash.BANDS)) ** minhash.BANDS
+    assert signature < 1e-3 * banding
+
+
 def test_repeated_passages(docs, none):
     want = cut(made())
     got = substring.repeated_passages(docs).collect()
