@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import embedding, fingerprint, html_text, lm, minhash, packing, pii, quality, segmentation, substring
+from playlens.llm import embedding, fingerprint, html_text, lm, minhash, packing, pii, quality, segmentation, spelling, substring
 
 QUERIES: dict = {}
 
@@ -179,6 +179,55 @@ def op10_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+OP11_SQL = r"""
+WITH RECURSIVE crc_table AS (
+        SELECT list(v ORDER BY b) AS t FROM (
+            SELECT b, list_reduce(list_prepend(b, range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v
+            FROM (SELECT unnest(range(256)) AS b))
+    ),
+    runs AS (
+        SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS c
+        FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS r FROM documents) GROUP BY 1, 2
+    ),
+    coded AS (SELECT r, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r)) AS h FROM runs),
+    hashed AS (
+        SELECT r, c, xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+            lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]))) AS h
+        FROM coded CROSS JOIN crc_table
+    ),
+    changed AS (
+        SELECT CASE WHEN h % 31 = 0 THEN left(r, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, c FROM hashed
+    ),
+    words AS (
+        SELECT word, CAST(sum(c) AS BIGINT) AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+    ),
+    holes AS (SELECT word, n, i, left(word, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    one AS (
+        SELECT x.word, y.word AS near, y.n AS m FROM holes x JOIN holes y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+        UNION SELECT x.word, y.word, y.n FROM holes x JOIN words y ON x.a || x.b = y.word
+        UNION SELECT y.word, x.word, x.n FROM holes x JOIN words y ON x.a || x.b = y.word
+    ),
+    best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM one GROUP BY word),
+    formed AS (
+        SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best.m >= 10 * n THEN best.m END AS form_n,
+            CASE WHEN best.m >= 10 * n THEN (SELECT min(near) FROM one WHERE one.word = words.word AND one.m = best.m) END AS form
+        FROM words LEFT JOIN best USING (word)
+    ),
+    walk(word, root) AS (
+        SELECT word, word FROM formed
+        UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON formed.word = walk.root WHERE formed.form IS NOT NULL
+    ),
+    last AS (SELECT walk.word, root FROM walk JOIN formed ON formed.word = walk.root WHERE formed.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)
+"""
+
+
+@query("op11_spelling_variants", OP11_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), altered=True)
+
+
 def queries() -> dict:
     return {k: v[0] for k, v in QUERIES.items()}
 
