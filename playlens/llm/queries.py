@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import embedding, fingerprint, html_text, lm, minhash, packing, pii, quality, segmentation, spelling, substring
+from playlens.llm import embedding, fingerprint, html_text, lexical, lm, minhash, packing, pii, quality, segmentation, spelling, substring
 
 QUERIES: dict = {}
 
@@ -228,6 +228,40 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"), altered=True)
 
 
+OP12_SQL = r"""
+WITH terms AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents
+    ),
+    asked AS (
+        SELECT item_id, t, count(*) AS q FROM (
+            SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY 1, 2
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+    whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS l FROM sizes),
+    tf AS (SELECT doc_id, t, count(*) AS tf FROM terms WHERE t IN (SELECT t FROM asked) GROUP BY 1, 2),
+    w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+          FROM (SELECT t, count(*) AS df FROM tf GROUP BY t) CROSS JOIN whole),
+    impact AS (
+        SELECT doc_id, t, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // l)) AS x
+        FROM tf JOIN sizes USING (doc_id) CROSS JOIN whole
+    ),
+    scores AS (
+        SELECT item_id, doc_id, CAST(sum(q * w * x) AS BIGINT) AS score FROM asked JOIN w USING (t) JOIN impact USING (t) GROUP BY 1, 2
+    )
+SELECT * FROM (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query("op12_ranked_search", OP12_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {k: v[0] for k, v in QUERIES.items()}
 
