@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import embedding, fingerprint, html_text, lexical, lm, minhash, packing, pii, quality, segmentation, spelling, substring
+from playlens.llm import embedding, fingerprint, html_text, language, lexical, lm, minhash, packing, pii, quality, segmentation, spelling, substring
 
 QUERIES: dict = {}
 
@@ -262,6 +262,14 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op13_language")
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = quality.held_out("doc_id", 5, 0)
+    model = language.train(docs.where(F.col("doc_id").isNotNull() & ~held))
+    return language.predict(docs, model).select("doc_id", quality.held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict:
     return {k: v[0] for k, v in QUERIES.items()}
 
