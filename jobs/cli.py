@@ -35,7 +35,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from playlens.functions import keys  # noqa: E402
-from playlens.operators import coldstart, downsample, features, metrics, recommend, stats  # noqa: E402
+from playlens.operators import coldstart, downsample, features, metrics, recommend, sparse, stats  # noqa: E402
 from playlens.session import build_session  # noqa: E402
 from playlens.sources import sinks  # noqa: E402
 from playlens.sources.tables import read_parquet_dir, read_usage_csv  # noqa: E402
@@ -105,7 +105,8 @@ def main(argv: list[str] | None = None) -> None:
         fn = downsample.restrict_to_users_repeated if a.repeat else downsample.restrict_to_users
         sinks.write_parquet(fn(read(a.train), read(a.val)), a.output)
     elif a.cmd == "baseline":
-        _print(metrics.shared_list_metrics(read(a.popular), read(a.val)))
+        popular = read(a.popular)
+        _print(metrics.shared_list_metrics(popular, read(a.val), max_list=popular.count()))
     elif a.cmd == "als-grid":
         ranks = [int(x) for x in (a.ranks or "10,20,50,100,200").split(",")]
         regs = [float(x) for x in (a.regs or "0.001,0.01,0.1,1").split(",")]
@@ -116,18 +117,20 @@ def main(argv: list[str] | None = None) -> None:
         sinks.save_model(model, a.model)
     elif a.cmd == "features":
         top = features.artist_top_terms(read(a.terms), int(a.top or 2))
-        sinks.write_parquet(features.item_features(read(a.songs), top, a.drop_level), a.output)
+        terms = sparse.term_dictionary(top, a.drop_level)
+        sinks.write_parquet(terms, f"{a.output}/terms")
+        sinks.write_parquet(sparse.sparse_features(read(a.songs), top, terms), f"{a.output}/rows")
     elif a.cmd in ("coldstart", "linear-grid"):
         top = features.artist_top_terms(read(a.terms), int(a.top or 2))
-        meta = features.multi_hot_vectors(read(a.songs), top)  # (track_id, x array<double>)
+        terms = sparse.term_dictionary(top)
         dictionary = read(a.dictionary).select("track_id", F.col("item_hashId").alias("item_id"))
-        train, holdout = coldstart.prepare(read(a.factors), dictionary, meta)
+        scaled = coldstart.prepare(read(a.factors), dictionary, sparse.sparse_features(read(a.songs), top, terms), terms)
         if a.cmd == "coldstart":
-            pred = coldstart.knn_predict(train, holdout)
+            pred = coldstart.knn_predict(scaled)
             _print(coldstart.knn_errors(pred))
-            sinks.write_slices(coldstart.patched_factors(train, pred), a.output, int(a.slices or 10))
+            sinks.write_slices(coldstart.patched_factors(scaled.train, pred), a.output, int(a.slices or 10))
         else:
-            _print(coldstart.linear_grid(train, holdout, [10.0 ** e for e in range(-3, 3)]))
+            _print(coldstart.linear_grid(scaled, [10.0 ** e for e in range(-3, 3)]))
     elif a.cmd == "topk":
         users = read(a.users).join(read(a.val_users).select(F.col("user_hashId").alias("id")), "id", "left_semi")
         recs = recommend.top_k_scores(users, read(a.items), int(a.k or 500))

@@ -1,15 +1,14 @@
 """Cold start: learn item factors from metadata for items held out of the factor model.
 
-Training table: factor rows V joined to the item dictionary H and to the feature vectors M (J9).
-Split: a repeatable hash-bucket holdout. The features are standardised with train statistics.
+Training table: factor rows V joined to the item dictionary H and to the sparse feature rows M (J9).
+Split: a repeatable hash-bucket holdout. The features are standardised with train statistics and stay sparse.
 Then one of three learners:
 
-- 1-nearest-neighbour: blocked distance search (``recommend.nearest_neighbour``)
-- ridge: one pass for the sufficient statistics (X'X, X'Y, sums), then a d x d solve per alpha
-- lasso: coordinate descent on the same statistics
+- 1-nearest-neighbour: exact search by inverted index and bounds (``neighbours.nearest_sparse``)
+- ridge and lasso: matrix-free fits by passes over the rows (``linear``)
 
-The statistics and model weights have the size of the feature and factor dimensions, not of the
-data, so only they reach the driver. Predictions and errors are Spark jobs.
+The dense forms below (``scaler_stats``, ``sufficient_statistics``, ``ridge_fit``, ``lasso_fit``) are for tables of
+a few features: they take d x d statistics to the driver, and the cold-start flow does not use them.
 """
 
 from __future__ import annotations
@@ -22,9 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.keys import seeded_unit
-from playlens.operators.metrics import multi_output_errors
-from playlens.operators.recommend import _matrix, nearest_neighbour
-from playlens.session import ensure_checkpoint_dir
+from playlens.operators import linear
+from playlens.operators.metrics import multi_output_errors, r2_score
+from playlens.operators.neighbours import BLOCK, nearest_sparse
+from playlens.operators.recommend import _matrix
+from playlens.operators.sparse import Scaled, filled
+from playlens.operators.sparse import standardise as standardise_sparse
 
 # Holdout rule: an id is in train when its seeded hash, as a share of the hash range, is below 0.8.
 SPLIT_SEED = 42
@@ -36,9 +38,9 @@ def identity_dictionary(items: DataFrame, item_col: str = "track_id") -> DataFra
 
 
 def training_table(factors: DataFrame, dictionary: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(id, track_id, features, x): V x H on the factor id, then x M on the track id."""
+    """(id, track_id, features, M's columns): V x H on the factor id, then x M on the track id."""
     vh = factors.join(dictionary, factors["id"] == dictionary["item_id"]).select("id", "track_id", "features")
-    return vh.join(vectors, "track_id").select("id", "track_id", "features", "x")
+    return vh.join(vectors, "track_id").select("id", "track_id", "features", *[c for c in vectors.columns if c != "track_id"])
 
 
 def dedup_by_id(df: DataFrame, id_col: str = "id", survivor_col: str = "track_id") -> DataFrame:
@@ -83,22 +85,20 @@ def standardise(df: DataFrame, stats: DataFrame, x_col: str = "x", out_col: str
     return with_stats.withColumn(out_col, z).drop("_st")
 
 
-def prepare(factors: DataFrame, dictionary: DataFrame, vectors: DataFrame, train_share: float = 0.8):
-    """Training table split into (train, holdout), both standardised with the train statistics."""
-    table = dedup_by_id(training_table(factors, dictionary, vectors)).withColumn("_train", in_train("id", train_share))
-    stats = scaler_stats(table.filter("_train"))
-    # Materialise the standardised table once (reliable checkpoint in the shared folder): the
-    # learners read it several times (block sizing, both sides of the search, statistics).
-    ensure_checkpoint_dir(table.sparkSession)
-    scaled = standardise(table, stats).checkpoint(eager=True)
-    return scaled.filter("_train").drop("_train"), scaled.filter(~F.col("_train")).drop("_train")
+def prepare(factors: DataFrame, dictionary: DataFrame, rows: DataFrame, terms: DataFrame, train_share: float = 0.8) -> Scaled:
+    """Training table of sparse rows, split and standardised with the train statistics.
+
+    ``rows`` are ``sparse_features`` and ``terms`` their dictionary.
+    """
+    table = dedup_by_id(training_table(factors, dictionary, filled(rows)))
+    return standardise_sparse(table, in_train("id", train_share), terms)
 
 
-def knn_predict(train: DataFrame, holdout: DataFrame, block_rows: int | None = None) -> DataFrame:
+def knn_predict(scaled: Scaled, block_rows: int = BLOCK) -> DataFrame:
     """(id, neighbor_id, dist, features, truth): the nearest train item's factors for each holdout item."""
-    nn = nearest_neighbour(holdout.select("id", "x"), train.select("id", "x"), block_rows, block_rows)
-    ref = train.select(F.col("id").alias("ref_id"), F.col("features").alias("pred"))
-    truth = holdout.select(F.col("id").alias("query_id"), F.col("features").alias("truth"))
+    nn = nearest_sparse(scaled.holdout, scaled.train, scaled.terms, scaled.width, block_rows)
+    ref = scaled.train.select(F.col("id").alias("ref_id"), F.col("features").alias("pred"))
+    truth = scaled.holdout.select(F.col("id").alias("query_id"), F.col("features").alias("truth"))
     out = nn.join(ref, "ref_id").join(truth, "query_id")
     return out.select(F.col("query_id").alias("id"), F.col("ref_id").alias("neighbor_id"), "dist",
                       F.col("pred").alias("features"), "truth")
@@ -118,7 +118,7 @@ def knn_errors(predictions: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------------------------
-# Linear models from sufficient statistics
+# Linear models of a few dense features, from sufficient statistics
 
 
 def _moment_rows(x_col: str, y_col: str):
@@ -231,9 +231,7 @@ def evaluate_linear(holdout: DataFrame, models: list[tuple[str, float, np.ndarra
     parts = holdout.select(x_col, y_col).mapInPandas(_error_rows(models, x_col, y_col, centre), schema)
     per_pos = parts.groupBy("model", "alpha", "pos").agg(
         F.sum("ss_res").alias("ss_res"), F.sum("sy").alias("sy"), F.sum("syy").alias("syy"), F.sum("n").alias("n"))
-    ss_tot = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    # One R2 rule with multi_output_errors: a constant target (spread below rounding) that is met scores 1.
-    r2 = F.when(ss_tot > 1e-12 * F.col("syy"), 1 - F.col("ss_res") / ss_tot).otherwise(F.when(F.col("ss_res") == 0, 1.0).otherwise(0.0))
+    r2 = r2_score(F.col("ss_res"), F.col("syy") - F.col("sy") * F.col("sy") / F.col("n"), F.col("syy"))
     return per_pos.groupBy("model", "alpha").agg(
         F.round(F.sum("ss_res") / F.sum("n"), 6).alias("mse"),
         F.round(F.sqrt(F.sum("ss_res") / F.sum("n")), 6).alias("rmse"),
@@ -241,14 +239,7 @@ def evaluate_linear(holdout: DataFrame, models: list[tuple[str, float, np.ndarra
     )
 
 
-def linear_grid(train: DataFrame, holdout: DataFrame, alphas: list[float], kinds=("ridge", "lasso"),
-                lasso_iter: int = 2000) -> DataFrame:
-    """Fit ridge and/or lasso for every alpha from one statistics pass and score them on holdout."""
-    mom = centred_moments(sufficient_statistics(train))
-    models = []
-    for a in alphas:
-        if "ridge" in kinds:
-            models.append(("ridge", float(a), *ridge_fit(mom, a)))
-        if "lasso" in kinds:
-            models.append(("lasso", float(a), *lasso_fit(mom, a, lasso_iter)))
-    return evaluate_linear(holdout, models, centre=mom["my"])
+def linear_grid(scaled: Scaled, alphas: list[float], kinds: tuple[str, ...] = ("ridge", "lasso"), lasso_iter: int = 2000) -> DataFrame:
+    """Fit ridge and/or lasso for every alpha and score them on the holdout."""
+    stats, _, models = linear.fit_grid(scaled, alphas, kinds, lasso_iter)
+    return linear.evaluate(scaled.holdout, stats, models)

@@ -1,5 +1,6 @@
-"""Metadata features: term popularity per artist, top terms, multi-hot encoding, item features,
-tag and lyric tables.
+"""Metadata features: term popularity per artist, top terms, tag and lyric tables.
+
+Multi-hot item features are sparse rows over a term dictionary: see ``sparse.py``.
 
 "Top terms per artist" uses ``rank() OVER (PARTITION BY artist ORDER BY term_count DESC) <= n``.
 Spark plans this with a WindowGroupLimit before and after the shuffle, so a prolific artist sends
@@ -66,64 +67,6 @@ def artist_term_map(top_terms: DataFrame, as_map: bool = False) -> DataFrame:
     return rows.groupBy("artist_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "n"))).alias("term_counts"))
 
 
-def term_vocabulary(top_terms: DataFrame, drop_level: str | None = None) -> list[str]:
-    """Sorted distinct terms that become feature columns, minus the reference level.
-
-    This list defines the output schema (one column per term), so it is collected to the driver;
-    its size is the vocabulary, capped by ``spark.sql.pivotMaxValues``. The default reference
-    level is the last term in sort order.
-    """
-    limit = int(top_terms.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    terms = [r[0] for r in top_terms.select("term").distinct().orderBy("term").limit(limit + 1).collect()]
-    if len(terms) > limit:
-        raise ValueError(f"more than {limit} distinct terms; use multi_hot_vectors instead of a wide table")
-    level = drop_level if drop_level is not None else (terms[-1] if terms else None)
-    return [t for t in terms if t != level]
-
-
-def item_features(songs: DataFrame, top_terms: DataFrame, drop_level: str | None = None) -> DataFrame:
-    """Songs with one 0/1 column per artist term (multi-hot), reference level and artist id dropped.
-
-    Songs whose artist has no terms get nulls in the term columns (left join).
-    """
-    all_terms = [r[0] for r in top_terms.select("term").distinct().orderBy("term").collect()]
-    keep = term_vocabulary(top_terms, drop_level)
-    wide = top_terms.groupBy("artist_id").pivot("term", all_terms).agg(F.count(F.lit(1)))
-    wide = wide.na.fill(0, subset=all_terms)
-    out = songs.join(wide, "artist_id", "left")
-    dropped = [t for t in all_terms if t not in keep]
-    return out.drop("artist_id", *dropped)
-
-
-def item_features_long(features: DataFrame, id_col: str = "track_id") -> DataFrame:
-    """Wide feature table -> (track_id, feature, value) with every value as DOUBLE (nulls kept)."""
-    cols = [c for c in features.columns if c != id_col]
-    typed = features.select(id_col, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
-    return typed.unpivot([id_col], [F.col(f"`{c}`") for c in cols], "feature", "value")
-
-
-def multi_hot_vectors(songs: DataFrame, top_terms: DataFrame, drop_level: str | None = None) -> DataFrame:
-    """(track_id, x array<double>): numeric song features then one 0/1 slot per vocabulary term.
-
-    Nulls (no duration, no terms) become 0. Artists carry index sets (a few terms each), and the
-    dense vector is expanded per song with ``transform``, with no pivot and no per-term join.
-    """
-    vocab = term_vocabulary(top_terms, drop_level)
-    spark = songs.sparkSession
-    index = spark.createDataFrame([(t, i) for i, t in enumerate(vocab)], "term string, idx int")
-    # Vocabulary-sized (bounded by pivotMaxValues): broadcast.
-    artist_idx = top_terms.join(F.broadcast(index), "term").groupBy("artist_id").agg(
-        F.collect_set("idx").alias("_idx"))
-    d = len(vocab)
-    joined = songs.join(artist_idx, "artist_id", "left")
-    onehot = F.transform(
-        F.sequence(F.lit(0), F.lit(d - 1)) if d else F.array().cast("array<int>"),
-        lambda j: F.when(F.array_contains(F.coalesce(F.col("_idx"), F.array().cast("array<int>")), j), F.lit(1.0)).otherwise(F.lit(0.0)),
-    )
-    numeric = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in NUMERIC_SONG_FEATURES])
-    return joined.select("track_id", F.concat(numeric, onehot).alias("x"))
-
-
 def null_term_share(songs: DataFrame, top_terms: DataFrame) -> DataFrame:
     """Songs, songs whose artist has no term, their share, and the first such song (lowest id)."""
     artists = top_terms.select("artist_id").distinct().withColumn("_has", F.lit(True))

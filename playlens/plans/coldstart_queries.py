@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playlens.operators import coldstart, features, metrics, recommend
-from playlens.plans.feature_queries import FEATURE_CTES
+from playlens.operators import coldstart, linear, metrics, recommend, sparse
+from playlens.plans.feature_queries import FEATURE_CTES, sparse_rows
 from playlens.plans.oracle import seeded_unit_bigint, with_fixtures
 from playlens.plans.rec_queries import TOP_N, metrics_sql
 from playlens.plans.registry import query
@@ -47,10 +47,14 @@ COLD_CTES = FEATURE_CTES + [
 
 
 def _inputs(spark, sf_dir):
-    songs = fx.songs(spark, sf_dir)
-    top2 = features.artist_top_terms(fx.artist_term(spark, sf_dir), 2)
-    vectors = features.multi_hot_vectors(songs, top2)
-    return fx.item_factors(spark, sf_dir), coldstart.identity_dictionary(songs), vectors
+    """(factors, item dictionary, sparse rows, term dictionary)"""
+    rows, terms = sparse_rows(spark, sf_dir)
+    return fx.item_factors(spark, sf_dir), coldstart.identity_dictionary(fx.songs(spark, sf_dir)), rows, terms
+
+
+def _table(spark, sf_dir):
+    factors, dictionary, rows, _ = _inputs(spark, sf_dir)
+    return coldstart.training_table(factors, dictionary, sparse.filled(rows))
 
 
 def _prepared(spark, sf_dir):
@@ -62,40 +66,35 @@ def _prepared(spark, sf_dir):
            (SELECT COUNT(*) FROM top2 t JOIN keep_terms k ON t.term = k.term WHERE t.artist_id = s.artist_id) AS n_terms
     FROM tt JOIN songs s ON s.track_id = tt.track_id""", COLD_CTES))
 def coldstart_training(spark, sf_dir):
-    table = coldstart.dedup_by_id(coldstart.training_table(*_inputs(spark, sf_dir)))
-    onehot = F.slice("x", 5, F.greatest(F.size("x") - 4, F.lit(1)))
-    return table.select(
-        "id", "track_id", F.col("x")[0].alias("duration"), F.col("x")[3].cast("int").alias("year"),
-        F.aggregate(onehot, F.lit(0.0), lambda a, v: a + v).cast("bigint").alias("n_terms"))
+    table = coldstart.dedup_by_id(_table(spark, sf_dir))
+    return table.select("id", "track_id", F.col("nums")[0].alias("duration"), F.col("nums")[3].cast("int").alias("year"),
+                        F.size("terms").cast("bigint").alias("n_terms"))
 
 
 @query("holdout_split", with_fixtures("SELECT id, is_train FROM sp", COLD_CTES))
 def holdout_split(spark, sf_dir):
-    table = coldstart.training_table(*_inputs(spark, sf_dir))
-    return table.select("id", coldstart.in_train("id").alias("is_train"))
+    return _table(spark, sf_dir).select("id", coldstart.in_train("id").alias("is_train"))
 
 
 @query("scaled_features", with_fixtures(
     "SELECT id, CAST(pos AS INTEGER) AS pos, ROUND(z, 6) AS z FROM sc", COLD_CTES))
 def scaled_features(spark, sf_dir):
-    train, holdout = _prepared(spark, sf_dir)
-    both = train.select("id", "x").unionByName(holdout.select("id", "x"))
-    return both.select("id", F.posexplode("x").alias("pos", "z")).withColumn("z", F.round("z", 6))
+    factors, dictionary, rows, terms = _inputs(spark, sf_dir)
+    scaled = coldstart.prepare(factors, dictionary, rows, terms)
+    return sparse.scaled_cells(scaled, scaled.train.unionByName(scaled.holdout), terms).withColumn("z", F.round("z", 6))
 
 
 @query("knn_factors", with_fixtures("SELECT id, neighbor_id, ROUND(dist, 6) AS dist FROM nn", COLD_CTES))
 def knn_factors(spark, sf_dir):
-    train, holdout = _prepared(spark, sf_dir)
-    pred = coldstart.knn_predict(train, holdout)
-    return pred.select("id", "neighbor_id", F.round("dist", 6).alias("dist"))
+    return coldstart.knn_predict(_prepared(spark, sf_dir)).select("id", "neighbor_id", F.round("dist", 6).alias("dist"))
 
 
 @query("patched_factors", with_fixtures("""
     SELECT id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS pos, CAST(unnest(features) AS DOUBLE) AS value
     FROM patched""", COLD_CTES))
 def patched_factors(spark, sf_dir):
-    train, holdout = _prepared(spark, sf_dir)
-    v_new = coldstart.patched_factors(train, coldstart.knn_predict(train, holdout))
+    scaled = _prepared(spark, sf_dir)
+    v_new = coldstart.patched_factors(scaled.train, coldstart.knn_predict(scaled))
     return v_new.select("id", F.posexplode("features").alias("pos", "value")).withColumn(
         "value", F.col("value").cast("double"))
 
@@ -111,8 +110,8 @@ COLD_TOPK_SQL = f"""
 
 
 def _patched_topk(spark, sf_dir):
-    train, holdout = _prepared(spark, sf_dir)
-    items = coldstart.patched_factors(train, coldstart.knn_predict(train, holdout))
+    scaled = _prepared(spark, sf_dir)
+    items = coldstart.patched_factors(scaled.train, coldstart.knn_predict(scaled))
     users = fx.user_factors(spark, sf_dir).join(fx.val_users(spark, sf_dir), "id", "left_semi")
     return recommend.top_k_scores(users, items, TOP_N)
 
@@ -135,16 +134,14 @@ def topk_eval(spark, sf_dir):
 @query("knn_mse", with_fixtures(
     "SELECT ROUND(SUM(ss_res) / SUM(n), 6) AS mse, ROUND(SQRT(SUM(ss_res) / SUM(n)), 6) AS rmse FROM per_pos", COLD_CTES))
 def knn_mse(spark, sf_dir):
-    train, holdout = _prepared(spark, sf_dir)
-    return coldstart.knn_errors(coldstart.knn_predict(train, holdout)).select("mse", "rmse")
+    return coldstart.knn_errors(coldstart.knn_predict(_prepared(spark, sf_dir))).select("mse", "rmse")
 
 
 @query("knn_r2", with_fixtures("""
     SELECT ROUND(AVG(CASE WHEN ss_tot > 0 THEN 1 - ss_res / ss_tot WHEN ss_res = 0 THEN 1.0 ELSE 0.0 END), 6) AS r2
     FROM per_pos""", COLD_CTES))
 def knn_r2(spark, sf_dir):
-    train, holdout = _prepared(spark, sf_dir)
-    return coldstart.knn_errors(coldstart.knn_predict(train, holdout)).select("r2")
+    return coldstart.knn_errors(coldstart.knn_predict(_prepared(spark, sf_dir))).select("r2")
 
 
 @query("gram_matrix", with_fixtures("""
@@ -152,24 +149,20 @@ def knn_r2(spark, sf_dir):
     FROM sc a JOIN sc b ON a.id = b.id AND a.is_train AND b.is_train
     GROUP BY a.pos, b.pos""", COLD_CTES))
 def gram_matrix(spark, sf_dir):
-    """X'X of the standardised train features, from the distributed sufficient statistics."""
-    train, _ = _prepared(spark, sf_dir)
-    stats = coldstart.sufficient_statistics(train)
-    return stats.filter(F.col("block") == "xx").select("i", "j", F.round("value", 6).alias("value"))
+    """X'X of the standardised train features, from sums over the entries of the sparse rows."""
+    return sparse.gram_cells(_prepared(spark, sf_dir)).select("i", "j", F.round("value", 6).alias("value"))
 
 
 @query("ridge_grid")
 def ridge_grid(spark, sf_dir):
-    """Ridge for alpha in logspace(-3, 2, 6): holdout MSE, RMSE, R2 (one statistics pass)."""
-    train, holdout = _prepared(spark, sf_dir)
-    return coldstart.linear_grid(train, holdout, ALPHAS, ("ridge",))
+    """Ridge for alpha in logspace(-3, 2, 6): holdout MSE, RMSE, R2."""
+    return coldstart.linear_grid(_prepared(spark, sf_dir), ALPHAS, ("ridge",))
 
 
 @query("lasso_grid")
 def lasso_grid(spark, sf_dir):
     """Lasso for alpha in logspace(-3, 2, 6), max_iter 2000: holdout MSE, RMSE, R2."""
-    train, holdout = _prepared(spark, sf_dir)
-    return coldstart.linear_grid(train, holdout, ALPHAS, ("lasso",), LASSO_MAX_ITER)
+    return coldstart.linear_grid(_prepared(spark, sf_dir), ALPHAS, ("lasso",), LASSO_MAX_ITER)
 
 
 @query("factor_head_cols", with_fixtures(

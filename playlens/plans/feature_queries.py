@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playlens.operators import features, stats
+from playlens.operators import features, sparse, stats
 from playlens.plans.oracle import with_fixtures
 from playlens.plans.registry import query
 from playlens.sources import fixtures as fx
@@ -72,16 +72,38 @@ def artist_term_map(spark, sf_dir):
     FROM termed a CROSS JOIN vocab v LEFT JOIN top2 t ON t.artist_id = a.artist_id AND t.term = v.term
     GROUP BY a.artist_id, v.term""", FEATURE_CTES))
 def artist_multihot(spark, sf_dir):
+    """Every artist against every term, from sparse rows over the whole dictionary."""
     top = _top(spark, sf_dir, 2)
-    terms = [r[0] for r in top.select("term").distinct().orderBy("term").collect()]
-    wide = top.groupBy("artist_id").pivot("term", terms).agg(F.count(F.lit(1))).na.fill(0, subset=terms)
-    return wide.unpivot(["artist_id"], [F.col(f"`{t}`") for t in terms], "term", "value")
+    dictionary = sparse.term_dictionary(top, drop_level="")
+    cells = sparse.term_cells(sparse.artist_term_rows(top, dictionary), ["artist_id"], dictionary, ["term"])
+    return cells.select("artist_id", "term", F.col("has").cast("bigint").alias("value"))
 
 
-@query("item_features")
+def sparse_rows(spark, sf_dir):
+    """(sparse item features, term dictionary)"""
+    top = _top(spark, sf_dir, 2)
+    dictionary = sparse.term_dictionary(top)
+    return sparse.sparse_features(fx.songs(spark, sf_dir), top, dictionary), dictionary
+
+
+@query("item_features", with_fixtures("""
+    SELECT s.track_id, s.duration, s.artist_familiarity, s.artist_hotttnesss, CAST(s.year AS DOUBLE) AS year,
+           CASE WHEN a.artist_id IS NOT NULL THEN COALESCE(l.terms, '') END AS terms
+    FROM songs s LEFT JOIN termed a ON a.artist_id = s.artist_id
+    LEFT JOIN (SELECT t.artist_id, STRING_AGG(CAST(k.idx AS VARCHAR), ',' ORDER BY k.idx) AS terms
+               FROM top2 t JOIN (SELECT term, ROW_NUMBER() OVER (ORDER BY term) - 1 AS idx FROM keep_terms) k ON t.term = k.term
+               GROUP BY t.artist_id) l ON l.artist_id = s.artist_id""", FEATURE_CTES))
 def item_features(spark, sf_dir):
-    """Wide item feature table (one column per term); checked through ``item_features_long``."""
-    return features.item_features(fx.songs(spark, sf_dir), _top(spark, sf_dir, 2))
+    """The item feature table as sparse rows: the numbers, and the dictionary positions of the terms."""
+    rows, _ = sparse_rows(spark, sf_dir)
+    numbers = [F.col("nums")[i].alias(c) for i, c in enumerate(features.NUMERIC_SONG_FEATURES)]
+    return rows.select("track_id", *numbers, F.array_join("terms", ",").alias("terms"))
+
+
+@query("term_dictionary", with_fixtures(
+    "SELECT term, CAST(ROW_NUMBER() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM keep_terms", FEATURE_CTES))
+def term_dictionary(spark, sf_dir):
+    return sparse.term_dictionary(_top(spark, sf_dir, 2))
 
 
 ITEM_FEATURES_LONG_SQL = with_fixtures("""
@@ -98,7 +120,7 @@ ITEM_FEATURES_LONG_SQL = with_fixtures("""
 
 @query("item_features_long", ITEM_FEATURES_LONG_SQL)
 def item_features_long(spark, sf_dir):
-    return features.item_features_long(features.item_features(fx.songs(spark, sf_dir), _top(spark, sf_dir, 2)))
+    return sparse.long_cells(*sparse_rows(spark, sf_dir))
 
 
 @query("null_term_share", with_fixtures("""
