@@ -1,13 +1,22 @@
-"""Cut lineage with a reliable checkpoint in the shared folder."""
+"""Cut lineage with a written table in the shared folder."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from playlens.session import ensure_checkpoint_dir
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read again from ``spark.checkpoint.dir``; it survives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once, written under ``spark.checkpoint.dir`` and read back.
+
+    Unlike ``checkpoint()``, which computes a frame a second time for its files, this writes as it computes,
+    and later reads prune columns. The rows survive lost executors. The files stay until the folder, which is
+    the cluster's scratch space, is cleared.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

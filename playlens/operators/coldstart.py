@@ -13,6 +13,7 @@ a few features: they take d x d statistics to the driver, and the cold-start flo
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.keys import seeded_unit
+from playlens.functions.select import least_hashes
 from playlens.operators import linear
 from playlens.operators.metrics import multi_output_errors, r2_score
 from playlens.operators.neighbours import BLOCK, nearest_sparse
@@ -37,6 +39,33 @@ def identity_dictionary(items: DataFrame, item_col: str = "track_id") -> DataFra
     return items.select(F.col(item_col).alias("track_id"), F.col(item_col).alias("item_id")).distinct()
 
 
+def collision_chains(dictionary: DataFrame, item_col: str = "item_id", track_col: str = "track_id") -> DataFrame:
+    """(item_id, n_tracks, track_id, chain): the tracks behind each hash id, in order; the least one survives.
+
+    A chain is as long as there are collisions on one id, which the width of the hash keeps short.
+    """
+    tracks = dictionary.select(F.col(item_col).alias("item_id"), F.col(track_col).alias("track_id")).distinct()
+    return tracks.groupBy("item_id").agg(F.count("*").alias("n_tracks"), F.min("track_id").alias("track_id"),
+                                         F.array_sort(F.collect_list("track_id")).alias("chain"))
+
+
+def sorted_dictionary(dictionary: DataFrame, item_col: str = "item_id", track_col: str = "track_id") -> DataFrame:
+    """The dictionary in ranges of the hash id: written as Parquet, a lookup reads the row groups of its ids only."""
+    n = int(dictionary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dictionary.repartitionByRange(n, item_col, track_col).sortWithinPartitions(item_col, track_col)
+
+
+def hashed_training_table(factors: DataFrame, dictionary: DataFrame, rows: DataFrame) -> DataFrame:
+    """(id, track_id, n_tracks, features, M's columns): V x H on the hash id, then x M, one row per id.
+
+    A hash id with several tracks fans out to all that have features; the least such track survives, and
+    ``n_tracks`` says how many the dictionary has for the id.
+    """
+    chains = collision_chains(dictionary).select(F.col("item_id").alias("id"), "n_tracks")
+    kept_rows = dedup_by_id(training_table(factors, dictionary, rows))
+    return kept_rows.join(chains, "id").select("id", "track_id", "n_tracks", *[c for c in kept_rows.columns if c not in ("id", "track_id")])
+
+
 def training_table(factors: DataFrame, dictionary: DataFrame, vectors: DataFrame) -> DataFrame:
     """(id, track_id, features, M's columns): V x H on the factor id, then x M on the track id."""
     vh = factors.join(dictionary, factors["id"] == dictionary["item_id"]).select("id", "track_id", "features")
@@ -85,6 +114,16 @@ def standardise(df: DataFrame, stats: DataFrame, x_col: str = "x", out_col: str
     return with_stats.withColumn(out_col, z).drop("_st")
 
 
+def exact_split(table: DataFrame, train_share: float = 0.8, id_col: str = "id", seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
+    """Train and holdout parts of exact size: round(share x rows) rows train, those with the least (hash, id).
+
+    ``table`` has one row per id. The parts never overlap and together are the table.
+    """
+    k = math.floor(train_share * table.count() + 0.5)
+    flag = least_hashes(table, k, id_col, seed)
+    return table.filter(flag), table.filter(~flag)
+
+
 def prepare(factors: DataFrame, dictionary: DataFrame, rows: DataFrame, terms: DataFrame, train_share: float = 0.8) -> Scaled:
     """Training table of sparse rows, split and standardised with the train statistics.
 

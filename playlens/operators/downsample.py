@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from playlens.functions.broadcast import bounded_broadcast
 from playlens.functions.keys import seeded_unit, with_hash_ids
+from playlens.functions.lineage import kept
+from playlens.functions.skew import LEAST_ROWS, heavy_bound
 from playlens.operators.stats import item_totals, running_share
 
 REPEAT_CHUNK = 65536  # copies generated per array in the fan-out repeat
+HOT_CHUNK = 1024  # the same for users with very many copies: what is dealt to tasks
 
 
 def items_by_share(df: DataFrame, cutoff: float, item_col: str = "track_id", count_col: str = "count") -> DataFrame:
@@ -74,17 +77,31 @@ def repeated_row_counts(train: DataFrame, val: DataFrame, user_col: str = "user_
         F.coalesce(F.sum(F.col("_t") * F.col("_v")), F.lit(0)).cast("bigint").alias("n_rows"), F.count("*").alias("n_users"))
 
 
-def restrict_to_users_repeated(train: DataFrame, val: DataFrame, user_col: str = "user_id") -> DataFrame:
+def restrict_to_users_repeated(train: DataFrame, val: DataFrame, user_col: str = "user_id", least_rows: int = LEAST_ROWS) -> DataFrame:
     """Inner-join semantics of train x val on the user: each train row once per val row of its user.
 
     Instead of a many-to-many join, val is reduced to one count per user, joined (one partner
-    row per key), and each train row is repeated by that count.
+    row per key), and each train row is repeated by that count. Users with very many copies are found
+    from the counts first: their rows are not shuffled to one task by user, and their copies are dealt by
+    (row, chunk of copies) before they are made.
     """
-    per_user = val.groupBy(user_col).agg(F.count("*").alias("_n"))
-    joined = train.join(per_user, user_col)
-    # Repeat in two levels (chunks of REPEAT_CHUNK copies) so no generated array grows with a
-    # heavy user's validation count.
-    n = F.col("_n")
-    chunks = joined.select(*train.columns, "_n", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / REPEAT_CHUNK))).alias("_c"))
-    size = F.least(F.lit(REPEAT_CHUNK), n - F.col("_c") * REPEAT_CHUNK)
-    return chunks.select(*train.columns, F.explode(F.sequence(F.lit(1), size.cast("long"))).alias("_copy")).drop("_copy")
+    ours = train.groupBy(user_col).agg(F.count("*").alias("_t"))
+    per_user = kept(ours.join(val.groupBy(user_col).agg(F.count("*").alias("_n")), user_col).select(
+        user_col, "_n", (F.col("_t") * F.col("_n")).alias("_w")))
+    heavy = heavy_bound(per_user, "_w", least_rows)
+    hot = F.broadcast(per_user.where(heavy).select(user_col, "_n"))
+    columns = train.columns
+
+    def chunks(joined: DataFrame, size: int) -> DataFrame:
+        return joined.select(*columns, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / size))).alias("_c"))
+
+    def copies(parts: DataFrame, size: int) -> DataFrame:
+        own = F.least(F.lit(size), F.col("_n") - F.col("_c") * size)
+        return parts.select(*columns, F.explode(F.sequence(F.lit(1), own.cast("long"))).alias("_copy")).drop("_copy")
+
+    # Repeat in two levels, so no generated array grows with a heavy user's validation count.
+    rest = train.join(F.broadcast(per_user.where(heavy).select(user_col)), user_col, "left_anti")
+    plain = copies(chunks(rest.join(per_user.where(~heavy).select(user_col, "_n"), user_col), REPEAT_CHUNK), REPEAT_CHUNK)
+    tasks = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunks(train.join(hot, user_col), HOT_CHUNK).repartition(tasks, F.xxhash64(*columns, "_c"))
+    return plain.unionByName(copies(dealt, HOT_CHUNK))

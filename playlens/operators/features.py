@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playlens.functions.skew import join_unique
+
 NUMERIC_SONG_FEATURES = ["duration", "artist_familiarity", "artist_hotttnesss", "year"]
 
 
@@ -23,10 +25,10 @@ def term_counts(artist_term: DataFrame) -> DataFrame:
 def artist_term_counts(artist_term: DataFrame) -> DataFrame:
     """(artist_id, term, term_count): each artist term with the term's overall popularity.
 
-    The per-term table has one row per vocabulary term; AQE picks broadcast or shuffle from its
-    measured size.
+    The per-term table has one row per vocabulary term. Rows of the most frequent terms are not shuffled by
+    term: at most ``MAX_HEAVY`` terms have so many, and their counts are broadcast.
     """
-    return artist_term.join(term_counts(artist_term), "term").select("artist_id", "term", "term_count")
+    return join_unique(artist_term, term_counts(artist_term), "term", "term_count").select("artist_id", "term", "term_count")
 
 
 def artist_max_term(artist_term: DataFrame) -> DataFrame:

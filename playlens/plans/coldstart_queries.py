@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playlens.operators import coldstart, linear, metrics, recommend, sparse
+from playlens.functions.keys import hash_id
+from playlens.operators import coldstart, features, linear, metrics, recommend, sparse
+from playlens.operators.neighbours import nearest_sparse
 from playlens.plans.feature_queries import FEATURE_CTES, sparse_rows
-from playlens.plans.oracle import seeded_unit_bigint, with_fixtures
+from playlens.plans.oracle import murmur3_bigint, seeded_unit_bigint, with_fixtures
 from playlens.plans.rec_queries import TOP_N, metrics_sql
 from playlens.plans.registry import query
 from playlens.sources import fixtures as fx
@@ -76,6 +78,53 @@ def holdout_split(spark, sf_dir):
     return _table(spark, sf_dir).select("id", coldstart.in_train("id").alias("is_train"))
 
 
+@query("holdout_split_exact", with_fixtures(f"""
+    SELECT id, ROW_NUMBER() OVER (ORDER BY {seeded_unit_bigint('id', coldstart.SPLIT_SEED)}, id) <= FLOOR(0.8 * COUNT(*) OVER () + 0.5) AS is_train
+    FROM tt""", COLD_CTES))
+def holdout_split_exact(spark, sf_dir):
+    """The split with exactly 80 % of the rows in train."""
+    train, holdout = coldstart.exact_split(coldstart.dedup_by_id(_table(spark, sf_dir)).select("id"))
+    return train.withColumn("is_train", F.lit(True)).unionByName(holdout.withColumn("is_train", F.lit(False)))
+
+
+@query("holdout_split_sizes", with_fixtures("""
+    SELECT COUNT(*) AS n_rows, CAST(FLOOR(0.8 * COUNT(*) + 0.5) AS BIGINT) AS n_train FROM tt""", COLD_CTES))
+def holdout_split_sizes(spark, sf_dir):
+    return holdout_split_exact(spark, sf_dir).agg(F.count("*").alias("n_rows"), F.count(F.when(F.col("is_train"), 1)).alias("n_train"))
+
+
+HASH_SLOTS = 1024  # hash ids are cut to so few values that tracks collide
+_SLOT = f"((({murmur3_bigint('track_id')}) % {HASH_SLOTS} + {HASH_SLOTS}) % {HASH_SLOTS})"
+
+
+def _hashed_dictionary(spark, sf_dir):
+    songs = fx.songs(spark, sf_dir).select("track_id")
+    return songs.select("track_id", F.pmod(hash_id("track_id"), F.lit(HASH_SLOTS)).cast("bigint").alias("item_id"))
+
+
+@query("hash_chains", with_fixtures(f"""
+    SELECT item_id, COUNT(*) AS n_tracks, MIN(track_id) AS track_id, STRING_AGG(CAST(track_id AS VARCHAR), ',' ORDER BY track_id) AS chain
+    FROM (SELECT DISTINCT track_id, CAST({_SLOT} AS BIGINT) AS item_id FROM songs) h GROUP BY item_id"""))
+def hash_chains(spark, sf_dir):
+    """The tracks behind each hash id, with collisions forced by a narrow hash."""
+    return coldstart.collision_chains(_hashed_dictionary(spark, sf_dir)).withColumn("chain", F.array_join("chain", ","))
+
+
+@query("coldstart_training_hashed", with_fixtures(f"""
+    SELECT id, track_id, n_tracks, duration, n_terms FROM (
+        SELECT v.id, h.track_id, COUNT(*) OVER (PARTITION BY v.id) AS n_tracks, COALESCE(s.duration, 0.0) AS duration,
+               (SELECT COUNT(*) FROM top2 t JOIN keep_terms k ON t.term = k.term WHERE t.artist_id = s.artist_id) AS n_terms,
+               ROW_NUMBER() OVER (PARTITION BY v.id ORDER BY h.track_id) AS r
+        FROM item_factors v JOIN (SELECT DISTINCT track_id, CAST({_SLOT} AS BIGINT) AS item_id FROM songs) h ON v.id = h.item_id
+        JOIN songs s ON s.track_id = h.track_id) x
+    WHERE r = 1""", FEATURE_CTES))
+def coldstart_training_hashed(spark, sf_dir):
+    """V joined to the item dictionary on hash ids that collide; of the tracks of one id the least survives."""
+    rows, _ = sparse_rows(spark, sf_dir)
+    table = coldstart.hashed_training_table(fx.item_factors(spark, sf_dir), _hashed_dictionary(spark, sf_dir), sparse.filled(rows))
+    return table.select("id", "track_id", "n_tracks", F.col("nums")[0].alias("duration"), F.size("terms").cast("bigint").alias("n_terms"))
+
+
 @query("scaled_features", with_fixtures(
     "SELECT id, CAST(pos AS INTEGER) AS pos, ROUND(z, 6) AS z FROM sc", COLD_CTES))
 def scaled_features(spark, sf_dir):
@@ -89,6 +138,34 @@ def knn_factors(spark, sf_dir):
     return coldstart.knn_predict(_prepared(spark, sf_dir)).select("id", "neighbor_id", F.round("dist", 6).alias("dist"))
 
 
+TIED_CTES = FEATURE_CTES + [
+    ("tied_in", f"SELECT track_id AS id, artist_id, CAST(year AS DOUBLE) AS year, {seeded_unit_bigint('track_id', coldstart.SPLIT_SEED)} < 0.8 AS is_train FROM songs"),
+    ("tied_x", """SELECT id, is_train, '' AS pos, year AS value FROM tied_in
+                  UNION ALL SELECT s.id, s.is_train, k.term, CASE WHEN t.term IS NULL THEN 0.0 ELSE 1.0 END
+                  FROM tied_in s CROSS JOIN keep_terms k LEFT JOIN top2 t ON t.artist_id = s.artist_id AND t.term = k.term"""),
+    ("tied_mom", "SELECT pos, AVG(value) AS mu, STDDEV_POP(value) AS sd FROM tied_x WHERE is_train GROUP BY pos"),
+    ("tied_z", "SELECT id, is_train, pos, (value - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END AS z FROM tied_x JOIN tied_mom USING (pos)"),
+    ("tied_v", "SELECT id, is_train, LIST(z ORDER BY pos) AS v FROM tied_z GROUP BY id, is_train"),
+    ("tied_q", "SELECT v, MIN(id) AS q FROM tied_v WHERE NOT is_train GROUP BY v"),
+    ("tied_r", "SELECT v, MIN(id) AS r FROM tied_v WHERE is_train GROUP BY v"),
+    ("tied_d", "SELECT q.v, r.r, ROUND(LIST_DISTANCE(q.v, r.v), 9) AS dist FROM tied_q q CROSS JOIN tied_r r"),
+    ("tied_nn", "SELECT v, r, dist FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY v ORDER BY dist, r) AS k FROM tied_d) d WHERE k = 1"),
+]
+
+
+@query("knn_tied", with_fixtures(
+    "SELECT x.id, n.r AS neighbor_id, ROUND(n.dist, 6) AS dist FROM tied_v x JOIN tied_nn n ON x.v = n.v WHERE NOT x.is_train", TIED_CTES))
+def knn_tied(spark, sf_dir):
+    """1-NN of all songs on year and terms alone, where many rows are equal: ties go to the least id."""
+    songs = fx.songs(spark, sf_dir)
+    top = features.artist_top_terms(fx.artist_term(spark, sf_dir), 2)
+    terms = sparse.term_dictionary(top)
+    rows = sparse.filled(sparse.sparse_features(songs, top, terms, ["year"])).withColumnRenamed("track_id", "id")
+    scaled = sparse.standardise(rows, coldstart.in_train("id"), terms, width=1)
+    found = nearest_sparse(scaled.holdout, scaled.train, scaled.terms, scaled.width)
+    return found.select(F.col("query_id").alias("id"), F.col("ref_id").alias("neighbor_id"), F.round("dist", 6).alias("dist"))
+
+
 @query("patched_factors", with_fixtures("""
     SELECT id, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS pos, CAST(unnest(features) AS DOUBLE) AS value
     FROM patched""", COLD_CTES))
@@ -165,6 +242,49 @@ def lasso_grid(spark, sf_dir):
     return coldstart.linear_grid(_prepared(spark, sf_dir), ALPHAS, ("lasso",), LASSO_MAX_ITER)
 
 
+def _residuals(spark, sf_dir, kind, residual):
+    scaled = _prepared(spark, sf_dir)
+    stats, b, models = linear.fit_grid(scaled, ALPHAS, (kind,), LASSO_MAX_ITER)
+    rows = [(alpha, round(residual(scaled, stats, b, w, alpha), 6)) for _, alpha, w, _ in models]
+    return spark.createDataFrame(rows, "alpha double, residual double")
+
+
+RESIDUAL_SQL = "SELECT alpha, CAST(0 AS DOUBLE) AS residual FROM (VALUES " + ", ".join(f"(CAST({a} AS DOUBLE))" for a in ALPHAS) + ") v(alpha)"
+
+
+@query("ridge_residuals", RESIDUAL_SQL)
+def ridge_residuals(spark, sf_dir):
+    """Per alpha how far the normal equations are from holding, as a share of the largest entry of Z'Y."""
+    return _residuals(spark, sf_dir, "ridge", linear.ridge_residual)
+
+
+@query("lasso_residuals", RESIDUAL_SQL)
+def lasso_residuals(spark, sf_dir):
+    """Per alpha the largest violation of the subgradient conditions, as the same share."""
+    return _residuals(spark, sf_dir, "lasso", linear.lasso_residual)
+
+
+ONE_FEATURE_CTES = COLD_CTES + [
+    ("one_y", "SELECT id, generate_subscripts(features, 1) - 1 AS pos, CAST(unnest(features) AS DOUBLE) AS y FROM sp WHERE is_train"),
+    ("one_z", "SELECT id, z FROM sc WHERE pos = 0 AND is_train"),
+    ("one_m", "SELECT pos, AVG(y) AS m FROM one_y GROUP BY pos"),
+    ("one_s", "SELECT pos, m, SUM(z * (y - m)) AS zy, SUM(z * z) AS zz FROM one_y JOIN one_m USING (pos) JOIN one_z USING (id) GROUP BY pos, m"),
+]
+
+
+@query("ridge_one_feature", with_fixtures(
+    "SELECT v.alpha, CAST(pos AS INTEGER) AS pos, ROUND(zy / (zz + v.alpha), 6) AS weight, ROUND(m, 6) AS intercept FROM one_s CROSS JOIN (VALUES "
+    + ", ".join(f"(CAST({a} AS DOUBLE))" for a in ALPHAS) + ") v(alpha)", ONE_FEATURE_CTES))
+def ridge_one_feature(spark, sf_dir):
+    """Ridge on the standardised duration alone, where the solution has a closed form."""
+    full = _prepared(spark, sf_dir)
+    one = [part.withColumn("nums", F.slice("nums", 1, 1)).withColumn("terms", F.array().cast("array<int>")) for part in (full.train, full.holdout)]
+    scaled = sparse.Scaled(one[0], one[1], full.terms.limit(0), 1, 1)
+    _, _, models = linear.fit_grid(scaled, ALPHAS, ("ridge",))
+    rows = [(alpha, i, round(float(w[0, i]), 6), round(float(c[i]), 6)) for _, alpha, w, c in models for i in range(w.shape[1])]
+    return spark.createDataFrame(rows, "alpha double, pos int, weight double, intercept double")
+
+
 @query("factor_head_cols", with_fixtures(
     "SELECT id, " + ", ".join(f"CAST(features[{i + 1}] AS DOUBLE) AS f{i}" for i in range(FACTOR_HEAD))
     + " FROM item_factors"))

@@ -12,8 +12,9 @@ from playlens.plans.oracle import murmur3_bigint, seeded_unit_bigint, with_fixtu
 from playlens.plans.registry import query
 from playlens.session import ensure_checkpoint_dir
 from playlens.sources import fixtures as fx
+from playlens.sources import sinks
 from playlens.sources.sinks import write_csv
-from playlens.sources.tables import ITEM_USAGE_BIGINT, read_usage_csv
+from playlens.sources.tables import ITEM_USAGE_BIGINT, read_parquet_dir, read_usage_csv
 
 # Fixed values of the evaluated jobs: share cutoff, nominal size, random sample, listener thresholds.
 SHARE_CUTOFF = 0.5      # head items holding half of the rows
@@ -72,6 +73,34 @@ def csv_roundtrip_strings(spark, sf_dir):
     return read_usage_csv(spark, path)
 
 
+def _scratch_path(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+@query("parquet_dir_roundtrip", with_fixtures(USAGE_SQL))
+def parquet_dir_roundtrip(spark, sf_dir):
+    """Item usage written as Parquet by many tasks and read back as one table of many files."""
+    path = _scratch_path(spark, "item_usage")
+    sinks.write_parquet(_usage(spark, sf_dir).repartition(4, "track_id"), path)
+    return read_parquet_dir(spark, path)
+
+
+@query("sized_slices_roundtrip", with_fixtures(USAGE_SQL))
+def sized_slices_roundtrip(spark, sf_dir):
+    """The same in as many files of 64 KiB as its measured size asks for."""
+    path = _scratch_path(spark, "item_usage")
+    sinks.write_sized(_usage(spark, sf_dir), path, 64 << 10)
+    return read_parquet_dir(spark, path)
+
+
+@query("partitioned_roundtrip", with_fixtures(f"SELECT *, CAST(total_plays % 4 AS INTEGER) AS part FROM ({USAGE_SQL}) u"))
+def partitioned_roundtrip(spark, sf_dir):
+    """The same with a folder per value of a column."""
+    path = _scratch_path(spark, "item_usage")
+    sinks.write_partitioned(_usage(spark, sf_dir).withColumn("part", (F.col("total_plays") % 4).cast("int")), path, "part")
+    return read_parquet_dir(spark, path)
+
+
 @query("downsample_random_other_seed", with_fixtures(f"""
     SELECT user_id, count, track_id FROM train
     WHERE {seeded_unit_bigint('track_id', SAMPLE_SEED + 1)} < {SAMPLE_FRACTION}"""))

@@ -5,8 +5,13 @@ Writes are idempotent (``overwrite``) so a rerun after a lost job leaves one cop
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from playlens.session import ensure_checkpoint_dir
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -26,6 +31,26 @@ def write_slices(df: DataFrame, path: str, slices: int = 10, mode: str = "overwr
     df.repartition(slices).write.mode(mode).parquet(path)
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the data files of a written table, from the file system that holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def write_sized(df: DataFrame, path: str, file_bytes: int = 256 << 20, mode: str = "overwrite") -> int:
+    """Output in files of about ``file_bytes``, as many as the rows need; returns their number.
+
+    Parquet size is known only once it is written, so the rows go to the shared scratch folder first, are
+    measured there, and are dealt to that many files.
+    """
+    spark = df.sparkSession
+    staged = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    files = max(1, math.ceil(table_bytes(spark, staged) / file_bytes))
+    spark.read.schema(df.schema).parquet(staged).repartition(files).write.mode(mode).parquet(path)
+    return files
+
+
 def write_max_records(df: DataFrame, path: str, max_records: int, mode: str = "overwrite") -> None:
     """Split files by row count instead of by number, without a shuffle."""
     df.write.mode(mode).option("maxRecordsPerFile", max_records).parquet(path)
