@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from playlens.llm.common import WordHasher, doc_slices, mix, runs, scratch, shuffle_partitions, string_buffer
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20  # texts that one group of rows works on
+BUCKET_BYTES = 16 << 20  # texts per bucket of n-grams
 EM_STEPS = 60
 GRID = 0.25  # width in nats of the histogram's bins
 _U = np.uint64
@@ -66,10 +67,17 @@ def _tokens(column, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndar
     return flat, before, first
 
 
-def _distinct(flat: np.ndarray, before: np.ndarray):
-    """(distinct words, index) and (distinct bigrams, index) of the tokens."""
-    pairs = mix(before * _U(0xD6E8FEB86659FD93) + flat)
-    return np.unique(flat, return_inverse=True), np.unique(pairs, return_inverse=True)
+def _pairs(flat: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return mix(before * _U(0xD6E8FEB86659FD93) + flat)
+
+
+def _trained(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, how often each is a training token); no index of the tokens is made."""
+    one = np.unique(keys)
+    seen, times = np.unique(keys[train], return_counts=True)
+    out = np.zeros(len(one), np.int64)
+    out[np.searchsorted(one, seen)] = times
+    return one, out
 
 
 def _bounds(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -95,12 +103,16 @@ def _send(buckets: int):
         hasher = WordHasher(lower=True)
         for group in runs(batches, ["batch"]):
             flat, before, first = _tokens(group.column("text"), hasher)
-            train = np.repeat(np.asarray(group.column("train")).astype(np.float64), np.diff(first))
-            (one, at1), (two, at2) = _distinct(flat, before)
-            n1, n2 = np.bincount(at1, train).astype(np.int64), np.bincount(at2, train).astype(np.int64)
-            b1, b2 = _bounds(one, buckets), _bounds(two, buckets)
-            some = [b for b in range(buckets) if b1[b + 1] > b1[b] or b2[b + 1] > b2[b]]
+            train = np.repeat(np.asarray(group.column("train")).astype(bool), np.diff(first))
             batch = group.column("batch")[0].as_py()
+            del group
+            one, n1 = _trained(flat, train)
+            pairs = _pairs(flat, before)
+            del flat, before
+            two, n2 = _trained(pairs, train)
+            del pairs
+            b1, b2 = _bounds(one, buckets), _bounds(two, buckets)
+            some = np.flatnonzero((np.diff(b1) > 0) | (np.diff(b2) > 0)).tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some, pa.int32()), pa.array([batch] * len(some), pa.int32()),
                  pa.array([one[b1[b] : b1[b + 1]].tobytes() for b in some], pa.binary()),
@@ -113,12 +125,11 @@ def _send(buckets: int):
 
 
 def _totals(keys: list[np.ndarray], counts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    flat = np.concatenate(keys)
-    own = np.concatenate([_unpack(c, len(k)) for k, c in zip(keys, counts)]).astype(np.float64)
-    _, at = np.unique(flat, return_inverse=True)
-    total = np.bincount(at, own).astype(np.int64)  # exact below 2**53
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    return [_pack(x) for x in np.split(total[at], cuts)] if len(flat) else [b""] * len(keys), total
+    one = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+    total = np.zeros(len(one), np.int64)
+    for k, c in zip(keys, counts):  # distinct within a batch
+        total[np.searchsorted(one, k)] += _unpack(c, len(k)).astype(np.int64)
+    return [_pack(total[np.searchsorted(one, k)]) for k in keys], total
 
 
 def _count(batches):
@@ -150,13 +161,19 @@ def _join(buckets: int):
                  totals.column("types"), totals.column("tokens")],
                 names=["doc_id", "train", "n", "c1", "c2", "types", "tokens"])
         flat, before, first = _tokens(texts.column("text"), WordHasher(lower=True))
-        (one, at1), (two, at2) = _distinct(flat, before)
-        b1, b2 = _bounds(one, buckets), _bounds(two, buckets)
-        c1, c2 = np.zeros(len(one), np.int64), np.zeros(len(two), np.int64)
-        for b, x, y in zip(*(totals.column(c).to_pylist() for c in ("bucket", "t1", "t2"))):
-            c1[b1[b] : b1[b + 1]] = _unpack(x, b1[b + 1] - b1[b])
-            c2[b2[b] : b2[b + 1]] = _unpack(y, b2[b + 1] - b2[b])
-        c1, c2 = c1[at1], c2[at2]
+
+        def counted(keys: np.ndarray, column: str) -> np.ndarray:
+            one, at = np.unique(keys, return_inverse=True)
+            bound, out = _bounds(one, buckets), np.zeros(len(one), np.int64)
+            for b, x in zip(totals.column("bucket").to_pylist(), totals.column(column).to_pylist()):
+                out[bound[b] : bound[b + 1]] = _unpack(x, bound[b + 1] - bound[b])
+            return out[at]
+
+        # Words, then bigrams: only one kind of key is held at a time.
+        c1 = counted(flat, "t1")
+        pairs = _pairs(flat, before)
+        del flat, before
+        c2 = counted(pairs, "t2")
         spans = list(zip(first[:-1].tolist(), first[1:].tolist()))
         k = len(spans)
         return pa.Table.from_arrays(
@@ -175,13 +192,13 @@ def token_counts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), train.alias("train"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
-    cuts = max(1, -(-int(size) // BATCH_BYTES))
+    cuts, buckets = max(1, -(-int(size) // BATCH_BYTES)), max(1, -(-int(size) // BUCKET_BYTES))
     texts = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(cuts)).cast("int")).repartition(parts, "batch")
     sent = texts.sortWithinPartitions("batch").mapInArrow(
-        _send(cuts), "bucket int, batch int, h1 binary, n1 binary, h2 binary, n2 binary")
+        _send(buckets), "bucket int, batch int, h1 binary, n1 binary, h2 binary, n2 binary")
     totals = sent.repartition(parts, "bucket").sortWithinPartitions("bucket", "batch").mapInArrow(
         _count, "batch int, bucket int, t1 binary, t2 binary, types long, tokens long")
-    return scratch(texts.groupBy("batch").cogroup(totals.groupBy("batch")).applyInArrow(_join(cuts), _COUNTED))
+    return scratch(texts.groupBy("batch").cogroup(totals.groupBy("batch")).applyInArrow(_join(buckets), _COUNTED))
 
 
 def _context(ch: np.ndarray) -> np.ndarray:
