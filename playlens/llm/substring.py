@@ -255,7 +255,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     key = F.xxhash64(doc_id, text)
-    base = docs.select(doc_id.alias("doc_id"), key.alias("key"), text.alias("text"))
+    row = [F.struct(*[docs[c] for c in carry]).alias("row")] if carry is not None else []
+    base = docs.select(doc_id.alias("doc_id"), key.alias("key"), text.alias("text"), *row)
     known = base.where("doc_id is not null and text is not null")
 
     digests = known.select("key", "doc_id", F.md5("text").alias("same"))
@@ -268,23 +269,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marks = shared.unionByName(copies.select("key", "pos")).groupBy("key").agg(F.collect_list("pos").alias("marks"))
 
     # Sorted, so that a task that runs again makes the same batches and sends the same rows.
-    marked = known.join(marks, "key").select("doc_id", "key", "text", "marks").sortWithinPartitions("key", "doc_id")
+    # All columns of all rows, as in the last join: both read one exchange of the texts. Rows without an id have no marks.
+    marked = base.join(marks, "key").select(*base.columns, "marks").sortWithinPartitions("key", "doc_id")
     windows = marked.mapInArrow(_windows(window), "w long, v int, doc_id long, key long, start int")
     dealt = windows.repartition(parts, F.coalesce("w", "key")).sortWithinPartitions("w", "v", "doc_id")
     found = dealt.mapInArrow(_later, "key long, doc_id long, pos int")
     cuts = found.unionByName(copies).groupBy("key", "doc_id").agg(F.collect_set("pos").alias("cuts")).select(
         "key", F.col("doc_id").alias("of"), "cuts")
 
-    def with_cuts(rows: DataFrame) -> DataFrame:
-        # Not an equality of columns: the texts are dealt by key, and that exchange is to serve here too.
-        return rows.join(cuts, (rows["key"] == cuts["key"]) & (F.col("doc_id") - F.col("of") == 0), "left")
-
-    if carry is None:
-        return with_cuts(base).select("doc_id", "text", "cuts").mapInArrow(
-            _cut(window, False), "doc_id long, n_words long, n_removed long, kept_sha256 string")
-    whole = docs.select(doc_id.alias("doc_id"), key.alias("key"), text.alias("text"),
-                        F.struct(*[docs[c] for c in carry]).alias("row"))
-    joined = with_cuts(whole).select("doc_id", "text", "cuts", "row")
-    row = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(
-        _cut(window, True), f"doc_id long, n_words long, n_removed long, kept_sha256 string, row {row}, kept_text string")
+    # The ids are not compared as equal columns: the texts are dealt by key, and that exchange is to serve here too.
+    joined = base.join(cuts, (base["key"] == cuts["key"]) & (F.col("doc_id") - F.col("of") == 0), "left").select(
+        "doc_id", base["key"], "text", *(["row"] if carry is not None else []), "cuts")
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    if carry is not None:
+        schema += f", row {joined.schema['row'].dataType.simpleString()}, kept_text string"
+    return joined.mapInArrow(_cut(window, carry is not None), schema)
