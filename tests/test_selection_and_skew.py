@@ -6,11 +6,12 @@ import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from playlens.functions import select, skew
-from playlens.operators import coldstart, downsample, features
+from playlens.operators import coldstart, downsample, features, recommend
 from playlens.sources import sinks
 
 
@@ -102,3 +103,40 @@ def test_sized_slices(spark, tmp_path):
     assert files == len(sizes) >= 3 and all(50_000 <= s <= 200_000 for s in sizes)
     assert spark.read.parquet(path).exceptAll(df).count() == 0 and spark.read.parquet(path).count() == 20_000
     assert sinks.write_sized(df.limit(0), str(tmp_path / "none")) == 1 and spark.read.parquet(str(tmp_path / "none")).count() == 0
+
+
+def factor_frame(spark, x, first=0):
+    return spark.createDataFrame([(first + i, [float(c) for c in row]) for i, row in enumerate(x)], "id long, features array<float>")
+
+
+@pytest.mark.parametrize("equal_norms", [False, True])
+def test_bounded_top_k_skips_blocks_and_stays_exact(spark, equal_norms):
+    """Users skip item blocks whose norms cannot reach their k-th score; the rows are those of brute force."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(600, 6))
+    v = v / np.linalg.norm(v, axis=1, keepdims=True) * (1.0 if equal_norms else rng.pareto(1.5, size=(600, 1)) + 0.05)
+    v[40:44] = v[300]  # ties
+    v[7] = 0
+    u = rng.normal(size=(50, 6))
+    u[3] = 0
+    users, items = factor_frame(spark, u, 1000), factor_frame(spark, v)
+    u, v = u.astype(np.float32).astype(float), v.astype(np.float32).astype(float)
+    k = 12
+    search = recommend.BoundedTopK(users, items, k, 4, 40)
+    pairs, whole = search.open_pairs(search.first()).count(), 50 * (len(search.blocks) - 1)
+    assert len(search.blocks) >= 6 and (0.9 * whole < pairs if equal_norms else 0 < pairs < 0.5 * whole)
+    got = {}
+    for r in recommend.top_k_scores(users, items, k, 16, 40).collect():
+        got.setdefault(r.user_id, []).append((r.rank, r.item_id))
+    for i, row in enumerate(u):
+        s = (row * v).sum(1)
+        want = sorted(range(600), key=lambda j: (-s[j], j))[:k]
+        assert [j for _, j in sorted(got[1000 + i])] == want
+
+
+def test_bounded_top_k_with_fewer_items_than_k(spark):
+    users, items = factor_frame(spark, np.ones((3, 2))), factor_frame(spark, np.arange(20).reshape(10, 2))
+    rows = recommend.top_k_scores(users, items, 50, 2, 3).collect()
+    assert len(rows) == 30 and {r.rank for r in rows} == set(range(1, 11))
+    assert recommend.top_k_scores(users.limit(0), items, 5, 2, 3).collect() == []
+    assert recommend.top_k_scores(users, items.limit(0), 5, 2, 3).collect() == []
