@@ -250,3 +250,112 @@ def nearest_sparse(queries: DataFrame, refs: DataFrame, term_scales: DataFrame,
     classes = queries.groupBy("nums", "terms").agg(F.min("id").alias("query"))
     every = queries.select("id", "nums", "terms").join(classes, ["nums", "terms"]).select(F.col("id").alias("query_id"), "query")
     return every.join(best, "query").select("query_id", F.col("b.ref_id").alias("ref_id"), F.col("b.dist").alias("dist"))
+
+
+# --------------------------------------------------------------------------------------------
+# Approximate search: random hyperplanes
+
+
+@dataclass
+class Planes:
+    """Seeded random hyperplanes: ``tables`` hash tables of ``bits`` planes, and how many codes a query probes in each."""
+
+    tables: int = 12
+    bits: int = 8
+    probes: int = 5
+    seed: int = 0
+
+    @property
+    def count(self) -> int:
+        return self.tables * self.bits
+
+
+def _normal(planes: Planes, key: Column) -> Column:
+    """A normal number per (plane, key), the same on every machine: Box-Muller over two hashes."""
+    def unit(salt: int, p: Column) -> Column:
+        return (F.shiftrightunsigned(F.xxhash64(F.lit(planes.seed), F.lit(salt), p, key), 11).cast("double") + 0.5) / F.lit(float(2**53))
+    return F.transform(F.sequence(F.lit(0), F.lit(planes.count - 1)),
+                       lambda p: F.sqrt(-2 * F.log(unit(1, p))) * F.cos(2 * np.pi * unit(2, p)))
+
+
+def _sides(rows: DataFrame, patterns: DataFrame, term_stats: DataFrame, width: int, planes: Planes) -> DataFrame:
+    """(id, nums, pid, side): each row's signed distance to every plane, without dense rows.
+
+    A term adds its own number over s, the centring takes one constant per plane from all rows, and the
+    numbers of a row add theirs. Terms are summed once per pattern.
+    """
+    stats = term_stats.withColumn("g", _normal(planes, F.col("idx").cast("long") + width))
+
+    def summed(df: DataFrame, by: list[str], each: Column) -> DataFrame:
+        cells = df.select(*by, F.posexplode(each).alias("p", "v")).groupBy(*by, "p").agg(F.sum("v").alias("v"))
+        return cells.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "v"))), lambda x: x["v"]).alias("sum"))
+
+    over = stats.select("idx", "mu", F.transform("g", lambda g: g / F.col("scale")).alias("g"))
+    none = F.array_repeat(F.lit(0.0), planes.count)
+    centre = F.coalesce(summed(over.select("mu", "g"), [], F.transform("g", lambda g: g * F.col("mu"))).scalar(), none)
+    of_terms = summed(patterns.select("pid", F.explode("terms").alias("idx")).join(over, "idx"), ["pid"], F.col("g"))
+    placed = rows.join(patterns.select("pid", "terms"), "terms").join(of_terms, "pid", "left").select(
+        "id", "nums", "pid", F.coalesce("sum", none).alias("side"), centre.alias("centre"))
+    side = F.zip_with("side", "centre", lambda a, c: a - c)
+    for i in range(width):
+        axis = _normal(planes, F.lit(i).cast("long"))
+        placed = placed.withColumn("axis", axis).withColumn("side", F.zip_with("side", "axis", lambda s, g: s + F.col("nums")[i] * g)).drop("axis")
+    return placed.select("id", "nums", "pid", side.alias("side"))
+
+
+def _codes(planes: Planes, probes: int):
+    """Rows (table, code) per row: its own code, then those across the nearest planes, one or two at a time."""
+
+    def work(batches):
+        powers = 1 << np.arange(planes.bits, dtype=np.int64)
+        for batch in batches:
+            n = batch.num_rows
+            side = batch.column("side").flatten().to_numpy(zero_copy_only=False).reshape(n, planes.tables, planes.bits)
+            own = ((side > 0) * powers).sum(2)
+            order = np.argsort(np.abs(side), axis=2)
+            flips = [np.zeros_like(own)]
+            for i in range(min(planes.bits, probes)):
+                flips.append(powers[order[:, :, i]])
+            if planes.bits > 1:
+                flips.append(powers[order[:, :, 0]] | powers[order[:, :, 1]])
+            codes = np.stack([own ^ f for f in flips[:probes]], axis=2)
+            table = np.broadcast_to(np.arange(planes.tables)[None, :, None], codes.shape)
+            key = (table << planes.bits | codes).reshape(n, -1)
+            ends = pa.array(np.arange(n + 1) * key.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("nums"), batch.column("pid"), pa.ListArray.from_arrays(ends, pa.array(key.ravel()))],
+                names=["id", "nums", "pid", "keys"])
+
+    return work
+
+
+def nearest_hashed(queries: DataFrame, refs: DataFrame, term_stats: DataFrame, width: int, planes: Planes | None = None) -> DataFrame:
+    """(query_id, ref_id, dist): a near reference for most queries, by random-hyperplane buckets with multi-probe.
+
+    ``term_stats`` is (idx, mu, scale). A reference is in one bucket of every table, a query looks into
+    ``probes`` buckets of each; the least exact distance met wins (ties: the least id). A query that meets no
+    reference has no row. Equal rows are one class, so copies do not fill a bucket; rows of a bucket are
+    compared in the join, which Spark splits where a bucket is large, and nothing is capped.
+    """
+    planes = planes or Planes()
+    queries, refs = queries.select("id", "nums", "terms"), refs.select("id", "nums", "terms")
+    patterns = term_patterns([queries, refs], term_stats)
+    schema = "id long, nums array<double>, pid long, keys array<long>"
+
+    def hashed(rows: DataFrame, probes: int) -> DataFrame:
+        classes = rows.groupBy("nums", "terms").agg(F.min("id").alias("id"))
+        return _sides(classes, patterns, term_stats, width, planes).mapInArrow(_codes(planes, probes), schema).select(
+            "id", "nums", "pid", F.explode("keys").alias("key"))
+
+    q = hashed(queries, planes.probes).select("key", F.col("id").alias("query"), F.col("nums").alias("qn"), F.col("pid").alias("a"))
+    r = hashed(refs, 1).select("key", F.col("id").alias("ref_id"), "nums", F.col("pid").alias("b"))
+    square = F.aggregate(F.zip_with("qn", "nums", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+    # Of the rows that one query meets in one pattern only the nearest by numbers can win.
+    met = kept(q.join(r, "key").groupBy("query", "a", "b").agg(F.min(F.struct(square.alias("square"), "ref_id")).alias("m")).select(
+        "query", "a", "b", "m.*"))
+    apart = _pattern_distances(met.select("a", "b").distinct(), patterns)
+    best = met.join(apart, ["a", "b"]).groupBy("query").agg(F.min(F.struct(
+        F.round(F.sqrt(F.col("square") + F.col("apart")), _DIGITS).alias("dist"), "ref_id")).alias("m"))
+    classes = queries.groupBy("nums", "terms").agg(F.min("id").alias("query"))
+    every = queries.join(classes, ["nums", "terms"]).select(F.col("id").alias("query_id"), "query")
+    return every.join(best, "query").select("query_id", F.col("m.ref_id").alias("ref_id"), F.col("m.dist").alias("dist"))

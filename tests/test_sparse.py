@@ -191,3 +191,20 @@ def test_linear_scores_match_dense(spark, fitted):
         assert got[name].mse == pytest.approx((res**2).mean(), abs=2e-6)
         assert got[name].r2 == pytest.approx((1 - (res**2).sum(0) / ((y - y.mean(0)) ** 2).sum(0)).mean(), abs=2e-6)
     assert linear.evaluate(scaled.train.limit(0), stats, models).collect() == []
+
+
+def test_hashed_search_finds_nine_in_ten_exact_neighbours(spark):
+    """Random-hyperplane buckets with multi-probe: recall against the exact search, repeatable by seed."""
+    rng = np.random.default_rng(12)
+    rows = spark.createDataFrame(made_rows(rng, 1500, 30, patterns=40), ROW)
+    terms = spark.createDataFrame([(f"t{i:02d}", i) for i in range(30)], "term string, idx int")
+    scaled = sparse.standardise(rows, F.col("id") % 5 != 0, terms, width=2)
+    exact = {r.query_id: r.dist for r in neighbours.nearest_sparse(scaled.holdout, scaled.train, scaled.terms, 2).collect()}
+    got = {r.query_id: (r.ref_id, r.dist) for r in neighbours.nearest_hashed(scaled.holdout, scaled.train, scaled.terms, 2).collect()}
+    hits = sum(i in got and abs(got[i][1] - d) < 1e-7 for i, d in exact.items())
+    assert hits >= 0.9 * len(exact) and all(d >= exact[i] - 1e-7 for i, (_, d) in got.items())
+    few = neighbours.Planes(tables=1, bits=10, probes=1, seed=3)
+    one, again = (sorted(map(tuple, neighbours.nearest_hashed(part, scaled.train, scaled.terms, 2, few).collect()))
+                  for part in (scaled.holdout, scaled.holdout.repartition(3)))
+    assert one == again and len(one) <= len(exact)
+    assert neighbours.nearest_hashed(scaled.holdout, scaled.train.limit(0), scaled.terms, 2).collect() == []
