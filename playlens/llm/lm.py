@@ -36,13 +36,19 @@ _BEGIN, _END = _U(0x1F83D9ABFB41BD6B), _U(0x5BE0CD19137E2179)
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Counts in the least of 1, 4 or 8 bytes each."""
-    top = x.max() if len(x) else 0
-    return x.astype(np.uint8 if top < 256 else np.uint32 if top < 1 << 32 else np.uint64).tobytes()
+    """A byte per count; counts from 255 on follow in 4 (or, if one needs it, 8) bytes each."""
+    big = x[x >= 255]
+    wide = np.uint32 if len(big) == 0 or big.max() < 1 << 32 else np.uint64
+    return np.minimum(x, 255).astype(np.uint8).tobytes() + big.astype(wide).tobytes()
 
 
 def _unpack(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, {1: np.uint8, 4: np.uint32, 8: np.uint64}[len(raw) // n] if n else np.uint8)
+    small = np.frombuffer(raw, np.uint8, n)
+    out = small.astype(np.int64)
+    at = np.flatnonzero(small == 255)
+    if len(at):
+        out[at] = np.frombuffer(raw, np.uint32 if len(raw) - n == 4 * len(at) else np.uint64, offset=n)
+    return out
 
 
 def _tokens(column, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
