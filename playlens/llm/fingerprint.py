@@ -3,7 +3,10 @@
 A text's sketch holds every word-shingle hash below a fixed fraction (1 / ``SCALE``) of the hash range, so
 its size follows the text's, sketches of parts merge by union, and the share of one sketch found in
 another estimates containment even between very unequal documents. A text with no hash below the bound
-keeps its least hash, so that only texts without words have an empty sketch.
+keeps its least hash, so that only texts without words have an empty sketch; such a hash is a name, not a
+sample, and takes no part in likeness. Of texts with fewer than ``EXACT_BELOW`` shingles, which have too few
+hashes below the bound, the likeness is taken with the fraction 1: all their hashes against all of the other
+text's, in the pass that hashes both. A short text that another holds whole is so contained by 1.
 
 ``next_pairs`` streams documents in id order past their successors: ids are cut into ranges from
 approximate quantiles, each range's first document is also sent to the range before it, and the last range
@@ -28,24 +31,33 @@ from playlens.llm.common import WordHasher, doc_slices, shingle_sets, shuffle_pa
 
 SCALE = 8
 SHINGLE = 5
+EXACT_BELOW = 256  # shingles
 _LEAST = -(2**63)
 
 
-def sketches(column: pa.Array, hasher: WordHasher, shingle: int = SHINGLE, scale: int = SCALE) -> list[np.ndarray]:
-    """Per text its sorted retained hashes; ``hasher`` lower-cases A-Z."""
-    bound = np.uint64((1 << 64) // scale)
+def shingle_hashes(column: pa.Array, hasher: WordHasher, shingle: int = SHINGLE) -> list[np.ndarray]:
+    """Per text all its distinct shingle hashes, sorted; ``hasher`` lower-cases A-Z."""
     out = []
     data, offsets = string_buffer(column)
     for i, j in doc_slices(offsets):
         part = data[offsets[i] : offsets[j]]
         starts, ends, first = hasher.split(part, offsets[i : j + 1] - offsets[i])
-        for s in shingle_sets(hasher.hashes(part, starts, ends), first, shingle):
-            kept = s[: np.searchsorted(s, bound)]
-            # The top 48 bits are kept; the bound's share of the range is unchanged by that.
-            out.append(np.unique((kept if len(kept) else s[:1]) >> np.uint64(16)))
+        out += shingle_sets(hasher.hashes(part, starts, ends), first, shingle)
     return out
 
 
+def retained(hashes: np.ndarray, scale: int = SCALE) -> np.ndarray:
+    """The sketch of a text: its hashes below the bound, or the least one if none is."""
+    kept = hashes[: np.searchsorted(hashes, np.uint64((1 << 64) // scale))]
+    # The top 48 bits are kept; the bound's share of the range is unchanged by that.
+    return np.unique((kept if len(kept) else hashes[:1]) >> np.uint64(16))
+
+
+def sketches(column: pa.Array, hasher: WordHasher, shingle: int = SHINGLE, scale: int = SCALE) -> list[np.ndarray]:
+    """Per text its sorted retained hashes."""
+    return [retained(s, scale) for s in shingle_hashes(column, hasher, shingle)]
+
+
 def text_of(sketch: np.ndarray) -> str:
     """Twelve hex digits per retained hash, ascending."""
     return "".join(map("%012x".__mod__, sketch.tolist()))
@@ -58,6 +70,11 @@ def containment(a: np.ndarray, b: np.ndarray) -> float:
     return len(np.intersect1d(a, b, assume_unique=True)) / len(a)
 
 
+def likeness(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> float:
+    """Share of text a's shingles that b has, from all hashes of both: exact for a short a, else by their sketches."""
+    return containment(a, b) if len(a) < EXACT_BELOW else containment(retained(a, scale), retained(b, scale))
+
+
 def edited(text: str, after: str) -> str:
     half = len(text) // 2
     return text[: len(text) - half] + after[:half]
@@ -77,19 +94,20 @@ def _pairs(shingle: int, scale: int):
                 part = batch.slice(at, 512)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 rows = list(zip(part.column("tail").to_pylist(), part.column("doc_id").to_pylist(), texts,
-                                sketches(part.column("text"), hasher, shingle, scale)))
+                                shingle_hashes(part.column("text"), hasher, shingle)))
                 if held is not None:
                     rows.insert(0, held)
                 held = rows[-1]
                 steps = [(r, s) for r, s in zip(rows[:-1], rows[1:]) if not r[0]]
                 new = [edited(r[2], s[2]) for r, s in steps]
-                drawn = sketches(pa.array(new, pa.string()), hasher, shingle, scale)
+                drawn = shingle_hashes(pa.array(new, pa.string()), hasher, shingle)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[1] for r, _ in steps], pa.int64()), pa.array([len(r[2]) for r, _ in steps], pa.int64()),
                      pa.array([hashlib.sha256(t.encode()).hexdigest() for t in new], pa.string()),
-                     pa.array([text_of(r[3]) for r, _ in steps], pa.string()), pa.array([text_of(d) for d in drawn], pa.string()),
-                     pa.array([containment(r[3], d) for (r, _), d in zip(steps, drawn)], pa.float64()),
-                     pa.array([containment(r[3], s[3]) for r, s in steps], pa.float64())],
+                     pa.array([text_of(retained(r[3], scale)) for r, _ in steps], pa.string()),
+                     pa.array([text_of(retained(d, scale)) for d in drawn], pa.string()),
+                     pa.array([likeness(r[3], d, scale) for (r, _), d in zip(steps, drawn)], pa.float64()),
+                     pa.array([likeness(r[3], s[3], scale) for r, s in steps], pa.float64())],
                     names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     return work

@@ -11,10 +11,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
-from playlens.llm import language, lexical, quality, spelling
+from playlens.llm import fingerprint, language, lexical, quality, spelling
+from playlens.llm.common import WordHasher
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
@@ -296,3 +298,43 @@ def test_language_query_on_held_out_texts(spark):
 def test_queries_match_sql(spark, key):
     res = compare(spark, duck(SF_SMALL), key, entry.queries()[key], entry.oracle_sql()[key], SF_SMALL)
     assert res["status"] == "match", res
+
+
+# ------------------------------------------------------------------------------- fingerprints of short texts
+
+
+def test_short_text_held_whole_is_contained():
+    """A text of 1 to 50 words inside a longer one has likeness 1, and a stranger of that length 0."""
+    rng = random.Random(11)
+    hasher = WordHasher(lower=True)
+    vocab = [f"w{i}" for i in range(4000)]
+    for n in [*range(1, 51), 255, 300]:
+        long = rng.sample(vocab, 700)
+        at = rng.randrange(700 - n)
+        inside = long[at : at + n]
+        texts = [" ".join(inside), " ".join(long), " ".join(f"x{i}" for i in range(n))]
+        a, b, c = fingerprint.shingle_hashes(pa.array(texts), hasher)
+        # Under five words the text is one shingle of its own, which no longer text has.
+        assert fingerprint.likeness(a, b) == (1.0 if n >= 5 else 0.0) and fingerprint.likeness(c, b) == 0.0
+        assert fingerprint.likeness(a, a) == 1.0
+
+
+def test_likeness_columns_match_brute_force(spark):
+    """near_edited and near_next from sets of word tuples, for texts short enough to be compared whole."""
+    rng = random.Random(13)
+    vocab = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(vocab, k=rng.randint(0, 120))) for _ in range(60)] + [None, "", "a b", "a b"]
+    texts[10] = " ".join(texts[11].split()[:9])
+
+    def shingles(t):
+        w = (t or "").split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    def share(a, b):
+        return len(a & b) / len(a) if a and b else float(not a and not b)
+
+    got = {r.doc_id: r for r in fingerprint.next_pairs(frame(spark, [(i, t, None) for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        after = texts[(i + 1) % len(texts)] or ""
+        assert got[i].near_next == pytest.approx(share(shingles(t), shingles(after)))
+        assert got[i].near_edited == pytest.approx(share(shingles(t), shingles(fingerprint.edited(t or "", after))))
