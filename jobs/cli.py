@@ -14,7 +14,7 @@
     spark-submit jobs/cli.py als-fit      --train t.parquet --model model_dir --rank 200 --reg 0.1 --max-iter 10
     spark-submit jobs/cli.py features     --songs songs.parquet --terms artist_term.parquet --output items_meta [--top 2]
     spark-submit jobs/cli.py coldstart    --factors itemFactors --dictionary items_hash --songs songs --terms artist_term
-                                          --output itemFactors_patched [--slices 10] [--top 2]
+                                          --output itemFactors_patched [--slices 10] [--top 2] (else files of 256 MiB)
     spark-submit jobs/cli.py linear-grid  --factors itemFactors --dictionary items_hash --songs songs --terms artist_term
     spark-submit jobs/cli.py topk         --users userFactors --items itemFactors --val-users valUsers --output recs --k 500
 
@@ -128,7 +128,11 @@ def main(argv: list[str] | None = None) -> None:
         if a.cmd == "coldstart":
             pred = coldstart.knn_predict(scaled)
             _print(coldstart.knn_errors(pred))
-            sinks.write_slices(coldstart.patched_factors(scaled.train, pred), a.output, int(a.slices or 10))
+            patched = coldstart.patched_factors(scaled.train, pred)
+            if a.slices:
+                sinks.write_slices(patched, a.output, int(a.slices))
+            else:
+                sinks.write_sized(patched, a.output)
         else:
             _print(coldstart.linear_grid(scaled, [10.0 ** e for e in range(-3, 3)]))
     elif a.cmd == "topk":
