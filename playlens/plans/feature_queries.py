@@ -67,6 +67,14 @@ def artist_term_map(spark, sf_dir):
     return features.artist_term_map(_top(spark, sf_dir, 2))
 
 
+@query("artist_term_map_entries", with_fixtures(
+    "SELECT artist_id, term, COUNT(*) AS n FROM top2 GROUP BY artist_id, term", TERM_CTES))
+def artist_term_map_entries(spark, sf_dir):
+    """The entries of the one map column per artist."""
+    maps = features.artist_term_map(_top(spark, sf_dir, 2), as_map=True)
+    return maps.select("artist_id", F.explode("term_counts").alias("term", "n"))
+
+
 @query("artist_multihot", with_fixtures("""
     SELECT a.artist_id, v.term, COUNT(t.term) AS value
     FROM termed a CROSS JOIN vocab v LEFT JOIN top2 t ON t.artist_id = a.artist_id AND t.term = v.term

@@ -174,6 +174,21 @@ def als_rec_ids(spark, sf_dir):
     return recommend.als_recommendations(model, val, TOP_N)
 
 
+GRID_CHECK = ((2, 4), (0.1, 1.0))  # ranks and regs of the structural check
+
+
+@query("als_grid_settings", with_fixtures(f"""
+    SELECT CAST(r.rank AS INTEGER) AS rank, CAST(g.reg AS DOUBLE) AS reg, n_users
+    FROM (VALUES {", ".join(f"({r})" for r in GRID_CHECK[0])}) r(rank), (VALUES {", ".join(f"({g})" for g in GRID_CHECK[1])}) g(reg),
+         (SELECT COUNT(DISTINCT user_id) AS n_users FROM val WHERE user_id IN (SELECT user_id FROM train)) u"""))
+def als_grid_settings(spark, sf_dir):
+    """A row per setting, scored on all validation users that were trained, with metrics in range."""
+    train, val = _als_inputs(spark, sf_dir)
+    grid = recommend.als_grid(train, val, *GRID_CHECK, 2, TOP_N)
+    scored = [F.col(c).between(0, 1) for c in ("map", f"precision_at_{K_PRECISION}", f"ndcg_at_{K_NDCG}")]
+    return grid.where(scored[0] & scored[1] & scored[2]).select("rank", "reg", "n_users")
+
+
 @query("als_grid")
 def als_grid(spark, sf_dir):
     """MAP, P@15, NDCG@10 for ranks {10,20,50,100,200} x regs {0.001,0.01,0.1,1}."""
