@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from playlens.functions import select, skew
-from playlens.operators import coldstart, downsample, features, recommend
+from playlens.operators import coldstart, downsample, features, metrics, recommend
 from playlens.sources import sinks
 
 
@@ -140,3 +140,64 @@ def test_bounded_top_k_with_fewer_items_than_k(spark):
     assert len(rows) == 30 and {r.rank for r in rows} == set(range(1, 11))
     assert recommend.top_k_scores(users.limit(0), items, 5, 2, 3).collect() == []
     assert recommend.top_k_scores(users, items.limit(0), 5, 2, 3).collect() == []
+
+
+def _peak(call) -> float:
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_top_k_holds_little_beside_its_lists_when_all_items_tie():
+    u, v = np.ones((1000, 4), np.float32), np.ones((20_000, 4), np.float32)
+    ids = np.random.default_rng(3).permutation(len(v)).astype(np.int64)
+    found = []
+    peak = _peak(lambda: found.append(recommend.stream_top_k(u, v, ids, 40, 2048)))
+    rows, items, scores, rank = found[0]
+    assert items.reshape(1000, 40).tolist() == [list(range(40))] * 1000 and (scores == 4).all()
+    assert rank.reshape(1000, 40).tolist() == [list(range(1, 41))] * 1000 and rows.tolist() == np.repeat(np.arange(1000), 40).tolist()
+    assert peak < 64
+
+
+def test_top_k_stops_where_norms_leave_nothing_to_gain(monkeypatch):
+    rng = np.random.default_rng(4)
+    u, v = rng.normal(size=(300, 8)), rng.normal(size=(20_000, 8))
+    v[rng.permutation(len(v))[1000:]] *= 0.01  # the others hold every list
+    passes, where = [], recommend._where
+    monkeypatch.setattr(recommend, "_where", lambda mask: passes.append(mask.shape) or where(mask))
+    rows, ids, scores, _ = recommend.stream_top_k(u, v, np.arange(len(v)), 20, 1000)
+    every = u @ v.T
+    best = np.lexsort((np.broadcast_to(np.arange(len(v)), every.shape), -every), axis=1)[:, :20]
+    assert ids.reshape(300, 20).tolist() == best.tolist()
+    assert len(passes) == 2  # one chunk of 20 for each of two groups of users
+
+
+@pytest.mark.parametrize("factor", [1e-40, 1.0, 1e35])
+def test_top_k_of_scores_that_float32_cannot_hold(factor):
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(size=(40, 6)) * factor, rng.normal(size=(500, 6))
+    v[::7] = v[0]
+    rows, ids, scores, _ = recommend.stream_top_k(u, v, np.arange(500), 60, 32)
+    every = np.array([(u[i] * v).sum(1) for i in range(40)])
+    best = np.array([np.lexsort((np.arange(500), -s))[:60] for s in every])
+    assert ids.reshape(40, 60).tolist() == best.tolist()
+    assert scores.reshape(40, 60).tolist() == np.take_along_axis(every, best, 1).tolist()
+
+
+def test_lists_have_a_row_per_user_and_score_like_their_long_form(spark):
+    rng = np.random.default_rng(6)
+    rows = lambda n: [(i, [float(x) for x in rng.normal(size=3)]) for i in range(n)]
+    users, items = (spark.createDataFrame(rows(n), "id long, features array<float>") for n in (30, 200))
+    for item_rows in (1000, 40):  # one block, several
+        lists = recommend.top_k_lists(users, items, 12, 16, item_rows)
+        got = {r.user_id: r["items"] for r in lists.collect()}
+        assert len(got) == 30 and lists.count() == 30 and all(len(x) == 12 for x in got.values())
+        truth = spark.createDataFrame([(u, t) for u in range(5, 40) for t in range(0, 200, 3)] * 2 + [(6, None), (None, 3)], "user_id long, track_id long")
+        by_list = metrics.list_metrics(lists, truth, "user_id", "track_id", "items").first()
+        assert by_list == metrics.ranking_metrics(recommend.listed(lists).withColumnRenamed("item_id", "track_id"), truth).first()
+        assert by_list.n_users == 25 and by_list["map"] > 0
