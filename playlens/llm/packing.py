@@ -17,13 +17,15 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import scratch
+from playlens.llm.common import doc_slices, scratch, string_buffer
+from playlens.llm.tokens import byte_class
 
 CAPACITY = 1024
 END_ID = 2
@@ -34,44 +36,96 @@ POPULATION = 4
 GENERATIONS = 6
 WELL_FILLED = 0.99
 
-# A break before a blank or newline that follows other text is always a token boundary; texts with
-# other white space are encoded whole.
-_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# A break before a blank or newline that follows other text is always a token boundary, and so is one before a mark
+# that follows a letter; texts with other white space are encoded whole.
 _RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BLANKS = (" ", "\n")
+_IS_BLANK = byte_class((0x20, 0x20), (0x0A, 0x0A))
+_IS_MARK = byte_class(*((ord(c), ord(c)) for c in '.,!?;:&$*%)"]}'))
+_IS_LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
 _CACHE_ENTRIES = 400_000
+_CACHE_CHARS = 32 << 20
 _JOINED = 2000
-_BATCH = 256
-
-
-def _split_ids(chunks: list[str], tokenizer, widths: np.ndarray) -> list[bytes]:
-    """Ids of chunks that start with a blank and end without one: they are encoded as one text, which
-    spares a call each, and cut where their bytes end (``widths``: bytes of each token)."""
-    ids = np.array(tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
-    ends = np.cumsum(widths[ids])
-    cuts = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in chunks])
-    at = np.searchsorted(ends, cuts)
-    if not np.array_equal(ends[at], cuts):
-        raise ValueError("a token spans two chunks")
-    raw, stops = ids.tobytes(), (4 * (at + 1)).tolist()
-    return [raw[a:b] for a, b in zip([0, *stops], stops)]
-
-
-def _encoded(texts: list[str], tokenizer, widths: np.ndarray, cache: dict) -> list[bytes]:
-    """Little-endian uint32 ids of each text; chunks seen before come from ``cache``."""
-    whole = {t for t in texts if _RARE_SPACE.search(t)}
-    parts = [[t] if t in whole else _CHUNK.findall(t) for t in texts]
-    if len(cache) > _CACHE_ENTRIES:
-        cache.clear()
-    new = {c for p in parts for c in p if c not in cache}
-    joined = [c for c in new.difference(whole) if c[0] in _BLANKS and c[-1] not in _BLANKS]
-    for at in range(0, len(joined), _JOINED):
-        own = joined[at : at + _JOINED]
-        cache.update(zip(own, _split_ids(own, tokenizer, widths)))
-    alone = list(new.difference(joined))
-    for c, e in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-        cache[c] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join([cache[c] for c in p]) for p in parts]
+_SLICE = 8 << 20
+
+
+def _chunks(data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Chunks of the texts between ``offsets``, and per text the index of its first one; ``whole`` texts are one chunk."""
+    blank = _IS_BLANK[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = blank[1:] & ~blank[:-1] | _IS_MARK[data[1:]] & _IS_LETTER[data[:-1]]
+    for i in whole:
+        cut[offsets[i] : offsets[i + 1]] = False
+    cut[offsets] = True
+    bounds = np.flatnonzero(cut)
+    chunks = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(data))
+    return chunks, np.searchsorted(bounds, offsets)
+
+
+class _Chunks:
+    """Ids of chunks seen before: a chunk has a slot, and a slot a run of ``ids``."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.widths = tokenizer, _token_widths(tokenizer)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slot, self.chars = {}, 0
+        self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, "<u4")
+
+    def _joined_ids(self, chunks: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of chunks that start with a blank and end without one: they are encoded as one text, which
+        spares a call each, and cut where their bytes end (``sizes``: bytes of each chunk)."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        ends, cuts = np.cumsum(self.widths[ids]), np.cumsum(sizes)
+        at = np.searchsorted(ends, cuts)
+        if not np.array_equal(ends[at], cuts):
+            raise ValueError("a token spans two chunks")
+        return ids, np.diff(at, prepend=-1)
+
+    def _add(self, chunks: list[str], sizes: np.ndarray, whole: set[str]) -> np.ndarray:
+        """Slots of new chunks."""
+        join = np.array([c[0] in _BLANKS and c[-1] not in _BLANKS and c not in whole for c in chunks], bool)
+        found, counts = [self.ids], []
+        joined, sizes = [c for c, j in zip(chunks, join.tolist()) if j], sizes[join]
+        for at in range(0, len(joined), _JOINED):
+            ids, n = self._joined_ids(joined[at : at + _JOINED], sizes[at : at + _JOINED])
+            found.append(ids)
+            counts.append(n)
+        alone = [c for c, j in zip(chunks, join.tolist()) if not j]
+        for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False):
+            found.append(np.array(e.ids, "<u4"))
+            counts.append([len(e.ids)])
+        slots = np.empty(len(chunks), np.int64)
+        slots[np.argsort(~join, kind="stable")] = np.arange(len(self.slot), len(self.slot) + len(chunks))
+        self.slot.update(zip(chunks, slots.tolist()))
+        self.chars += sum(map(len, chunks))
+        self.ids = np.concatenate(found)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(counts))])
+        return slots
+
+    def encoded(self, texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, first): the ids of all texts, and per text where its ids start; at last the number of ids."""
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        rare = {i: t for i, t in enumerate(texts.to_pylist()) if t and _RARE_SPACE.search(t)}
+        chunks, first = _chunks(data, offsets, np.array(list(rare), np.int64))
+        coded = chunks.dictionary_encode()
+        own = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.slot) > _CACHE_ENTRIES or self.chars > _CACHE_CHARS:
+            self._clear()
+        known = self.slot
+        slots = np.array([known.get(c, -1) for c in own], np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            sizes = np.diff(np.frombuffer(coded.dictionary.buffers()[1], np.int64)[: len(own) + 1])
+            slots[new] = self._add([own[i] for i in new.tolist()], sizes[new], set(rare.values()))
+        slots = slots[np.asarray(coded.indices)]
+        start = self.first[slots]
+        count = self.first[slots + 1] - start
+        bounds = np.concatenate([[0], np.cumsum(count)])
+        places = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], count)
+        return self.ids[places], bounds[first]
 
 
 def _token_widths(tokenizer) -> np.ndarray:
@@ -83,6 +137,14 @@ def _token_widths(tokenizer) -> np.ndarray:
     return widths
 
 
+@lru_cache(maxsize=1)
+def _chunk_ids(tokenizer_path: str) -> _Chunks:
+    """One a worker process, for all of its tasks."""
+    from tokenizers import Tokenizer
+
+    return _Chunks(Tokenizer.from_file(tokenizer_path))
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids binary]) of every document, tokenised whole.
@@ -92,17 +154,15 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches):
-        from tokenizers import Tokenizer
-
-        tokenizer, cache = Tokenizer.from_file(tokenizer_path), {}
-        widths = _token_widths(tokenizer)
+        chunks = _chunk_ids(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, _BATCH):
-                part = batch.slice(at, _BATCH)
-                texts = [t or "" for t in part.column("text").to_pylist()]
+            data, offsets = string_buffer(batch.column("text"))
+            for a, b in doc_slices(offsets, _SLICE):
+                part = batch.slice(a, b - a)
+                found, first = chunks.encoded(part.column("text"), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 cols: list[list] = [[], [], [], [], [], []]
-                for doc, ids in zip(part.column("doc_id").to_pylist(), _encoded(texts, tokenizer, widths, cache)):
-                    ids += end
+                for doc, x, y in zip(part.column("doc_id").to_pylist(), first[:-1].tolist(), first[1:].tolist()):
+                    ids = found[x:y].tobytes() + end
                     n, start, k = len(ids) // 4, 0, 0
                     while start < n:
                         size = (n % capacity or capacity) if start == 0 else capacity
@@ -151,7 +211,7 @@ class _Bins:
 
 
 def _fitness(bins: list, sizes: list) -> tuple:
-    return len(bins), -sum(sum(sizes[i] for i in b) ** 2 for b in bins)
+    return len(bins), -sum(sum(map(sizes.__getitem__, b)) ** 2 for b in bins)
 
 
 def _fresh(sizes: list, capacity: int, rng: random.Random, noise: float) -> list:
@@ -163,15 +223,15 @@ def _fresh(sizes: list, capacity: int, rng: random.Random, noise: float) -> list
 
 def _cross(a: list, b: list, sizes: list, capacity: int, rng: random.Random) -> list:
     """Whole well-filled bins of ``b`` go into ``a``; what they displace is re-inserted best-fit."""
-    good = [g for g in b if sum(sizes[i] for i in g) >= WELL_FILLED * capacity]
+    good = [g for g in b if sum(map(sizes.__getitem__, g)) >= WELL_FILLED * capacity]
     rng.shuffle(good)
     inject = good[: max(1, len(good) // 3)]
     taken = {i for g in inject for i in g}
     out, loose = _Bins(capacity), []
     for g in inject:
-        out.add(list(g), sum(sizes[i] for i in g))
+        out.add(list(g), sum(map(sizes.__getitem__, g)))
     for g in a:
-        fill = sum(sizes[i] for i in g)
+        fill = sum(map(sizes.__getitem__, g))
         # Poorly filled bins are opened too, so that their pieces can move.
         if taken.isdisjoint(g) and (fill >= WELL_FILLED * capacity or rng.random() < 0.5):
             out.add(list(g), fill)

@@ -12,11 +12,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from playlens.llm import fingerprint, lm, minhash, packing, pii, quality, segmentation, substring
+from playlens.llm.common import string_buffer
 from tests.conftest import SF_SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -323,6 +325,26 @@ def test_packing(docs, none, spark):
     assert packing.pack(packing.pieces(none, path)).count() == 0
 
 
+def test_chunk_ids_are_those_of_whole_texts(monkeypatch):
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(5)
+    parts = [" ", "\n", "  ", ".", ",", "!", "&&", ")", "a", "Bc", "the", "'s", "'", "1", "é", "日", "\t", "\u3000", "<|endoftext|>"]
+    texts = ["", None, " ", "it's.", "x\t y.", *("".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(500))]
+    column = pa.array(texts, pa.string())
+    data, offsets = string_buffer(column)
+    chunks = packing._Chunks(packing._chunk_ids(path).tokenizer)
+    monkeypatch.setattr(packing, "_JOINED", 7)
+    for limit in (0, packing._CACHE_ENTRIES):  # chunks forgotten, chunks known
+        monkeypatch.setattr(packing, "_CACHE_ENTRIES", limit)
+        ids, first = chunks.encoded(column, data, offsets)
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [
+            chunks.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_worker_process_reads_the_tokenizer_once():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing._chunk_ids(path) is packing._chunk_ids(path)
+
+
 def test_crossover_keeps_every_piece_once():
     rng = random.Random(3)
     sizes = [rng.randint(1, 1023) for _ in range(300)]
