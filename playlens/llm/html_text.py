@@ -17,7 +17,8 @@ after the whole run. Rows with equal lines are copies, and rows of one path that
 share ``VERSION`` of their text are versions; neither are compared.
 
 The order is cut into ranges whose outer pages are also sent to the ranges that need them, so a host of any
-size is spread over tasks. A task keeps its rows on its own disk while it reads the neighbours of each.
+size is spread over tasks. Rows are sent with their lines compressed, and a task keeps them so while it reads the
+neighbours of each: in memory up to ``HELD`` bytes, on its own disk beyond.
 
 Defined cases: a null html gives an empty text; a null or odd URL is a host of its own text; rows that
 repeat each give their text; other columns are ignored; no rows give no rows.
@@ -30,6 +31,7 @@ import html
 import pickle
 import re
 import tempfile
+import zlib
 from bisect import bisect_right
 
 import pyarrow as pa
@@ -67,6 +69,7 @@ _MARKED, _NESTED, _FORM, _ARTICLE_FORM = 3, 4, 5, 6
 _IN_ARTICLE = (ARTICLE, _NESTED, _ARTICLE_FORM)
 VERSION = 0.9  # share of equal text from which rows of one path are versions of a page
 SEVERAL = 5  # neighbours in a row, of different articles, that show a line in a container to be the template's
+HELD = 32 << 20  # bytes of compressed rows that a task keeps in memory
 COPY = 0.5  # share of equal text from which two articles are copies of each other
 
 
@@ -299,24 +302,37 @@ def _beside(ranges: list[list[str]]) -> dict[str, list[int]]:
     return out
 
 
+def _blob(lines: list[tuple[int, str]]) -> bytes:
+    """Zones and lines, compressed; no line holds a newline."""
+    return zlib.compress(bytes(z for z, _ in lines) + b"\n" + "\n".join([t for _, t in lines]).encode(), 1)
+
+
+def _unblob(blob: bytes) -> tuple[bytes, list[str]]:
+    zones, _, text = zlib.decompress(blob).partition(b"\n")
+    return zones, text.decode().split("\n") if zones else []
+
+
+_SENT = "part int, own boolean, k string, page_id long, url string, lines binary, h binary"
+
+
 def _parsed(starts: list[str], beside: dict[str, list[int]]):
-    """Rows (part, own, k, page_id, url, zones, lines, h): each page in its range, outer pages also beside it."""
+    """Rows (part, own, k, page_id, url, lines, h): each page in its range, outer pages also beside it."""
 
     def work(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                cols: list[list] = [[] for _ in range(8)]
+                cols: list[list] = [[] for _ in range(7)]
                 part = batch.slice(at, 256)
                 for k, page_id, url, page in zip(*(part.column(c).to_pylist() for c in ("k", "page_id", "url", "html"))):
-                    lines = lines_of(page or "")
+                    lines = _blob(lines_of(page or ""))
                     h = hashlib.blake2b((page or "").encode("utf-8", "surrogatepass"), digest_size=8).digest()
                     p = max(bisect_right(starts, k) - 1, 0)
                     for q, own in [(p, True), *((q, False) for q in beside.get(k, ()))]:
-                        for c, v in zip(cols, (q, own, k, page_id, url, bytes(z for z, _ in lines), [t for _, t in lines], h)):
+                        for c, v in zip(cols, (q, own, k, page_id, url, lines, h)):
                             c.append(v)
-                kinds = [pa.int32(), pa.bool_(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.string()), pa.binary()]
+                kinds = [pa.int32(), pa.bool_(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                                 names=["part", "own", "k", "page_id", "url", "zones", "lines", "h"])
+                                                 names=["part", "own", "k", "page_id", "url", "lines", "h"])
 
     return work
 
@@ -378,22 +394,24 @@ def _main_text(row: dict, sides: list[list[dict]]) -> tuple[str, int, int]:
 
 
 class _Rows:
-    """The rows of a task on its own disk, read back by number; the last few read are kept."""
+    """The rows of a task, compressed, read back by number; the last few read are kept."""
 
     def __init__(self):
-        self.file, self.at, self.keys, self.own, self.held = tempfile.TemporaryFile(), [0], [], [], {}
+        self.file, self.at, self.keys, self.own, self.held = tempfile.SpooledTemporaryFile(HELD), [0], [], [], {}
 
     def add(self, row: dict) -> None:
         self.keys.append((row["part"], row["k"]))
         self.own.append(row["own"])
-        self.at.append(self.at[-1] + self.file.write(pickle.dumps(row, 5)))
+        self.at.append(self.at[-1] + self.file.write(pickle.dumps((row["page_id"], row["url"], row["lines"]), 5)))
 
     def __getitem__(self, i: int) -> dict:
         if i not in self.held:
             if len(self.held) >= 64:
                 del self.held[next(iter(self.held))]
             self.file.seek(self.at[i])
-            self.held[i] = pickle.loads(self.file.read(self.at[i + 1] - self.at[i]))
+            page_id, url, blob = pickle.loads(self.file.read(self.at[i + 1] - self.at[i]))
+            zones, lines = _unblob(blob)
+            self.held[i] = {"k": self.keys[i][1], "page_id": page_id, "url": url, "zones": zones, "lines": lines}
         return self.held[i]
 
     def runs(self, name) -> tuple[list[int], list[int]]:
@@ -443,7 +461,6 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     # Ends of the ranges, from the keys alone: at most 8 * (SEVERAL + 1) keys per range reach the driver.
     ends = rows.select("k").repartitionByRange(parts, "k").sortWithinPartitions("k").mapInArrow(_range_ends, "ks array<string>").collect()
     ranges = sorted(r["ks"] for r in ends)
-    found = rows.mapInArrow(_parsed([r[0] for r in ranges], _beside(ranges)),
-                            "part int, own boolean, k string, page_id long, url string, zones binary, lines array<string>, h binary")
+    found = rows.mapInArrow(_parsed([r[0] for r in ranges], _beside(ranges)), _SENT)
     return found.repartition(parts // 4, "part").sortWithinPartitions("part", "k", "h").mapInArrow(
         _differenced, "page_id long, url string, text string, n_chars long, n_shared long, n_marked long")

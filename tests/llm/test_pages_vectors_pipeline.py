@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,25 @@ def test_rows_of_one_path_meet_other_pages(spark):
         assert got[k] == (f"story {n} begins\nit ends {n}", 3), k
 
 
+def test_rows_are_sent_and_kept_compressed(monkeypatch):
+    words = [f"word{i}" for i in range(50)]
+    texts = [" ".join(random.Random(k).choices(words, k=200)) for k in range(30)]
+    pages = [f"<p>Our site</p><p>{t}</p><nav>menu</nav>" for t in texts]
+    batch = pa.RecordBatch.from_pydict({
+        "k": [f"h.example\x01/{k:02d}\x01\x01{k:020d}" for k in range(30)],
+        "page_id": list(range(30)), "url": [f"https://h.example/{k:02d}" for k in range(30)], "html": pages})
+    sent = list(html_text._parsed([batch.column("k")[0].as_py()], {})([batch]))
+    assert sum(b.column("lines").nbytes for b in sent) < 0.6 * sum(map(len, texts))
+    for held, on_disk in ((1 << 20, False), (1, True)):
+        monkeypatch.setattr(html_text, "HELD", held)
+        rows = html_text._Rows()
+        for row in (r for b in sent for r in b.to_pylist()):
+            rows.add(row)
+        assert rows.file._rolled == on_disk and rows.at[-1] < 0.7 * sum(map(len, texts))
+        got = [r for b in html_text._differenced(iter(sent)) for r in b.to_pylist()]
+        assert [(r["text"], r["n_shared"], r["n_marked"]) for r in got] == [(t, 1, 1) for t in texts]
+
+
 @pytest.mark.parametrize("box", ["article", "main"])
 def test_differencing_judges_lines_inside_the_container(spark, box):
     def page(own, *more):
