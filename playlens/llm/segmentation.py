@@ -24,7 +24,7 @@ from __future__ import annotations
 import heapq
 import math
 import random
-import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +38,9 @@ ZIPF_SHIFT = 2.7
 UNKNOWN_LOGP = -16.0  # per byte of a character without a piece
 _START = "▁"
 _LITERAL = "\udc81"  # stands for a literal U+2581 in a text; no valid text holds it
-_WORD = re.compile(f"\n|{_START}+[^{_START}\n]*|[^{_START}\n]+")
 _CACHE_WORDS = 200_000
-_BATCH_CHARS = 1_000_000
+_CACHE_NODES = 4_000_000
+_BATCH_CHARS = 250_000
 
 
 _NO_PIECES = (np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1), np.zeros(1 << 16, bool))
@@ -79,10 +79,14 @@ class Vocabulary:
             self.edge[piece] = (i, -math.log((r + ZIPF_SHIFT) * total))
         # Per piece length: sorted hashes of the pieces' code points, their ids and priors.
         self.by_length: dict[int, tuple] = {}
+        # Per length: top bits of the hashes of that many first characters of a longer piece; a match ends where they end.
+        self.begins: dict[int, np.ndarray] = {}
         for size in sorted({len(p) for p in self.edge}):
             own = [p for p in self.edge if len(p) == size]
             points, hashes = _points("".join(own)).reshape(-1, size), np.zeros(len(own), np.uint64)
             for k in range(size):
+                if k:
+                    self.begins.setdefault(k, np.zeros(1 << 18, bool))[mix(hashes) >> np.uint64(46)] = True
                 hashes = hashes * np.uint64(_MULT) + points[:, k] + np.uint64(1)
             hashes = mix(hashes)
             order = np.argsort(hashes)
@@ -91,6 +95,9 @@ class Vocabulary:
             self.by_length[size] = (hashes[order], np.array([self.edge[p][0] for p in own], np.int64)[order],
                                     np.array([self.edge[p][1] for p in own])[order], maybe)
 
+        # The bytes of all pieces after each other.
+        self.spelled, self.widths = np.frombuffer(b"".join(self.bytes_of), np.uint8), np.array([len(x) for x in self.bytes_of])
+        self.starts = np.cumsum(self.widths) - self.widths
         self.longest = max(self.by_length, default=1)
 
     def ids(self, code: int) -> list[int]:
@@ -102,10 +109,19 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of a segmentation; the inverse of encoding."""
-        raw = b"".join([self.bytes_of[i] for i in ids])
+        ids = np.asarray(ids, np.int64)
+        width = self.widths[ids]
+        shift = self.starts[ids] - np.cumsum(width) + width
+        raw = self.spelled[np.arange(width.sum()) + np.repeat(shift, width)].tobytes()
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def _vocabulary(path: str) -> Vocabulary:
+    """One a worker process, for all of its tasks."""
+    return Vocabulary(path)
+
+
 class Lattices:
     """Flat edge lists of all words seen: per edge its code, nodes, conditional log-probability.
 
@@ -116,37 +132,43 @@ class Lattices:
     def __init__(self, vocab: Vocabulary):
         self.vocab, self.root = vocab, {}
         self.nodes = self.size = 0
-        self.code, self.next, self.cdf, self.first = (np.zeros(1024, np.int64) for _ in range(4))
-        self.logp, self.of = np.zeros(1024), np.zeros(1024, np.int64)
+        self.code, self.next, self.of = (np.zeros(1024, np.int32) for _ in range(3))
+        self.cdf, self.first, self.logp = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024)
+
+    def clear(self) -> None:
+        """Forgets all words; the arrays are used again."""
+        self.root, self.nodes, self.size = {}, 0, 0
 
     def _room(self, nodes: int, edges: int) -> None:
         """Arrays double when full; ``first`` has one entry past the last node."""
         if nodes + 1 > len(self.first):
             self.first = np.concatenate([self.first, np.zeros(nodes + 1, np.int64)])
         if edges > len(self.code):
-            self.code, self.next, self.cdf, self.of = (
-                np.concatenate([x, np.zeros(edges, np.int64)]) for x in (self.code, self.next, self.cdf, self.of))
-            self.logp = np.concatenate([self.logp, np.zeros(edges)])
+            self.code, self.next, self.cdf, self.of, self.logp = (
+                np.concatenate([x, np.zeros(edges, x.dtype)]) for x in (self.code, self.next, self.cdf, self.of, self.logp))
 
     def add(self, words: list[str]) -> None:
         """Adds the lattices of new, distinct, non-empty words."""
         points = _points("".join(words))
-        size = np.array([len(w) for w in words])
+        size = np.fromiter(map(len, words), np.int64, len(words))
         end = np.repeat(np.cumsum(size), size)
         n = len(points)
         left = end - np.arange(n)  # characters from here to the word's end
         hits = []
-        run = np.zeros(n, np.uint64)
+        live, run = np.arange(n), np.zeros(n, np.uint64)  # places where a piece can still match, hashes of what they match
         count = np.zeros(n, np.int64)
         for length in range(1, self.vocab.longest + 1):
-            if length > n:
-                break
-            run = run[: n - length + 1] * np.uint64(_MULT) + points[length - 1 :] + np.uint64(1)
-            at = np.flatnonzero(left[: n - length + 1] >= length)
+            if length > 1:
+                more = (left[live] >= length) & self.vocab.begins[length - 1][mixed >> np.uint64(46)]
+                live, run = live[more], run[more]
+                if not len(live):
+                    break
+            run = run * np.uint64(_MULT) + points[live + (length - 1)] + np.uint64(1)
+            mixed = mix(run)
             if length > 1 and length not in self.vocab.by_length:
                 continue
             hashes, ids, logp, maybe = self.vocab.by_length.get(length, _NO_PIECES)
-            own = mix(run[at])
+            at, own = live, mixed
             likely = maybe[own >> np.uint64(48)]
             rest, at, own = at[~likely], at[likely], own[likely]
             k = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
@@ -171,25 +193,30 @@ class Lattices:
             place[at] += 1
         target = node + span
         final = target == end[node]
-        # Backward sums, one distance from the word's end after the other.
-        back, carry = np.zeros(n), np.zeros(len(node))
+        # Backward sums, one distance from the word's end after the other; edges in the order in which they are needed.
         by_left = np.argsort(left.astype(np.uint16) if size.max() < 1 << 16 else left, kind="stable")
         cuts = np.searchsorted(left[by_left], np.arange(1, left.max() + 2))
+        c = count[by_left]
+        start = np.concatenate([[0], np.cumsum(c)])
+        turn = np.arange(total) - np.repeat(start[:-1] - first[by_left], c)
+        value, to = prior[turn], np.where(final, n, target)[turn]
+        back = np.zeros(n + 1)  # the last one is the end of a word
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            at = by_left[a:b]
-            c = count[at]
-            start = np.cumsum(c) - c
-            e = np.arange(int(c.sum())) - np.repeat(start - first[at], c)
-            value = prior[e] + np.where(final[e], 0.0, back[np.minimum(target[e], n - 1)])
-            top = np.maximum.reduceat(value, start)
-            back[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, c)), start))
-            carry[e] = value
-        logp = carry - back[node]
-        rank = np.arange(len(node)) - first[node]
-        share, run = np.exp(logp), np.zeros(len(node))
-        for k in range(int(count.max())):
-            at = np.flatnonzero(rank == k)
-            run[at] = share[at] + (run[at - 1] if k else 0.0)
+            x, y = start.item(a), start.item(b)
+            own = value[x:y]
+            own += back[to[x:y]]
+            cut = start[a:b] - x
+            top = np.maximum.reduceat(own, cut)
+            back[by_left[a:b]] = top + np.log(np.add.reduceat(np.exp(own - np.repeat(top, c[a:b])), cut))
+        logp = np.empty(total)
+        logp[turn] = value
+        logp -= back[node]
+        rank = np.arange(total) - first[node]
+        share = np.exp(logp)
+        run, at = share.copy(), first
+        for k in range(1, int(count.max())):
+            at = at[count[node[at]] > k]
+            run[at + k] = share[at + k] + run[at + k - 1]
         last = rank == count[node] - 1
         bits = np.where(last, 1 << 32, np.minimum(run * 2.0**32, 2.0**32).astype(np.int64))
         base, had = self.nodes, self.size
@@ -257,6 +284,8 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
     ``draw(j)`` gives (edges, offsets) of the j-th drawn path of the text's words.
     """
     logp, weight, after = lat.logp, lat.logp.item, lat.next.item  # single values as Python numbers
+    first, of, rand = lat.first.item, lat.of.item, rng.random
+    log, log1p, exp, heappush = math.log, math.log1p, math.exp, heapq.heappush
     top = -math.log(-math.log(rng.random() or 1e-300))  # the best of a set of total mass 1
     edges, _ = draw(0)
     out = [(edges, float(logp[edges].sum()), top)]
@@ -282,8 +311,8 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
             own, own_logp = out[path][0], out[path][1]
             while True:
                 e = own.item(step)
-                ahead = mass + weight(e)
-                sets = [(mass + weight(c), c) for c in lat.edges(lat.of.item(e)) if c != e]
+                ahead, node = mass + weight(e), of(e)
+                sets = [(mass + weight(c), c) for c in range(first(node), first(node + 1)) if c != e]
                 left = _minus(ahead, own_logp) if step + 1 < len(own) else -math.inf
                 if sets or left == -math.inf:
                     break
@@ -291,17 +320,28 @@ def search(lat: Lattices, draw, k: int, rng: random.Random) -> list[tuple]:
             options = [s for s in sets if s[0] > -math.inf] + ([(left, None)] if left > -math.inf else [])
             if not options:
                 continue
-            hi = max(o[0] for o in options)
-            pick, run = rng.random() * sum(math.exp(o[0] - hi) for o in options), 0.0
-            best = len(options) - 1
-            for i, o in enumerate(options):
-                run += math.exp(o[0] - hi)
-                if run >= pick:
-                    best = i
-                    break
+            if len(options) == 1:
+                rand()
+                best = 0
+            else:
+                hi = max([m for m, _ in options])
+                shares = [exp(m - hi) for m, _ in options]
+                pick, run = rand() * sum(shares), 0.0
+                best = len(options) - 1
+                for i, share in enumerate(shares):
+                    run += share
+                    if run >= pick:
+                        best = i
+                        break
             for i, (m, c) in enumerate(options):
-                v = -value if i == best else _truncated(rng, m, -value)
-                push(v, path, *((step + 1, ahead, None) if c is None else (step, m, c)))
+                if i == best:
+                    key = value
+                else:  # as _truncated
+                    u = rand()
+                    x, y = m + value, log(-log(1e-300 if u < 1e-300 else 1 - 1e-16 if u > 1 - 1e-16 else u))
+                    key = (x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))) - m
+                ticket += 1
+                heappush(heap, (key, ticket, path, step + 1, ahead, None) if c is None else (key, ticket, path, step, m, c))
             continue
         head = [*out[path][0][:step].tolist(), edge]
         node = after(edge)
@@ -331,21 +371,38 @@ def _inclusion(logp: float, threshold: float) -> float:
     return x if x < -30 else math.log(-math.expm1(-math.exp(min(x, 700.0))))
 
 
+def _words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct words, the word at each place, per text its first place): a word is a line end, or text with the blanks before it.
+
+    A text is read with one more blank before it. Blanks of words are ``_START``.
+    """
+    raw = [(" " + t).encode() if t else b"" for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    if not len(data):
+        return [], np.zeros(0, np.int64), offsets
+    blank, line = data == 0x20, data == 0x0A
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = line[1:] | line[:-1] | blank[1:] & ~blank[:-1]
+    cut[offsets] = True
+    bounds = np.flatnonzero(cut)
+    coded = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(data)).dictionary_encode()
+    own = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    if any(_START in t for t in texts):
+        own = [w.replace(_START, _LITERAL) for w in own]
+    return ([w.replace(" ", _START) for w in own], np.asarray(coded.indices), np.searchsorted(bounds, offsets))
+
+
 def _encode_rows(vocab: Vocabulary, lat: Lattices, rows: list[tuple], k: int):
     """(row index, rank, ids, log-probability, perturbed value, log inclusion) of each row (key, text)."""
-    words, spans = [], [0]
-    for _, text in rows:
-        marked = text.replace(_START, _LITERAL).replace(" ", _START)
-        words += _WORD.findall(_START + marked) if text else []
-        spans.append(len(words))
-    new = list({w for w in words if w not in lat.root})
+    words, which, first = _words([text for _, text in rows])
+    new = [w for w in words if w not in lat.root]
     if new:
         lat.add(new)
-    roots = [lat.root[w] for w in words]
-    flat = np.array(roots, np.int64)
-    count = np.diff(spans)
+    flat = np.array([lat.root[w] for w in words], np.int64)[which]
+    spans, count = first.tolist(), np.diff(first)
     seeds = mix(np.array([key for key, _ in rows], np.int64).view(np.uint64)) if rows else np.zeros(0, np.uint64)
-    place = np.arange(len(flat)) - np.repeat(np.array(spans[:-1]), count)
+    place = np.arange(len(flat)) - np.repeat(first[:-1], count)
     keys = mix(np.repeat(seeds, count) + place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     paths = [_drawn(lat, flat, keys, j) for j in range(k)]
     code = lat.code
@@ -375,7 +432,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     """
 
     def work(batches):
-        vocab = Vocabulary(model_path)
+        vocab = _vocabulary(model_path)
         lat = Lattices(vocab)
         for batch in batches:
             ids, keys, texts = (batch.column(c).to_pylist() for c in ("doc_id", "key", "text"))
@@ -385,17 +442,19 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 while end < len(texts) and (end == at or size + len(texts[end]) <= _BATCH_CHARS):
                     size += len(texts[end])
                     end += 1
-                if len(lat.root) > _CACHE_WORDS:
-                    lat = Lattices(vocab)
+                if len(lat.root) > _CACHE_WORDS or lat.nodes > _CACHE_NODES:
+                    lat.clear()
                 cols: list[list] = [[] for _ in range(8)]
                 for r, rank, pieces, logp, value, inclusion in _encode_rows(vocab, lat, list(zip(keys[at:end], texts[at:end])), k):
-                    same = check and vocab.decode(pieces if isinstance(pieces, list) else pieces.tolist()) == texts[at + r]
+                    same = check and vocab.decode(pieces) == texts[at + r]
                     for c, v in zip(cols, (ids[at + r], rank, len(pieces), logp, value, inclusion, pieces, same)):
                         c.append(v)
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.bool_()]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), None, pa.bool_()]
                 names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "pieces", "round_trip"]
                 keep = 8 if check else 7
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols[:keep], kinds)], names=names[:keep])
+                bounds = np.concatenate([[0], np.cumsum(cols[2])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(bounds, np.concatenate(cols[6]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) if t else lists for c, t in zip(cols[:keep], kinds)], names=names[:keep])
                 at = end
 
     schema = "doc_id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, pieces array<int>"
@@ -409,7 +468,7 @@ def decode(pieces: DataFrame, model_path: str, pieces_col: str = "pieces", id_co
     """(doc_id, text) of rows of piece ids; null ids give a null text."""
 
     def work(batches):
-        vocab = Vocabulary(model_path)
+        vocab = _vocabulary(model_path)
         for batch in batches:
             texts = [None if p is None else vocab.decode(p) for p in batch.column("pieces").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])

@@ -369,6 +369,33 @@ def test_segmentation_round_trip_and_cases(docs, none):
     assert segmentation.encode(none, path).count() == 0
 
 
+def test_words_are_those_of_the_pattern():
+    rng, start = random.Random(4), "▁"
+    texts = ["", " ", "\n", *("".join(rng.choices([" ", "\n", "a", "é", "日", start], k=rng.randint(1, 12))) for _ in range(400))]
+    own, which, first = segmentation._words(texts)
+    for text, a, b in zip(texts, first[:-1], first[1:]):
+        marked = start + text.replace(start, "\udc81").replace(" ", start)
+        assert [own[k] for k in which[a:b]] == (re.findall(f"\n|{start}+[^{start}\n]*|[^{start}\n]+", marked) if text else [])
+
+
+def test_forgotten_lattices_do_not_change_samples_and_places_without_a_match_are_left_early():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    vocab = segmentation._vocabulary(path)
+    assert vocab is segmentation._vocabulary(path)
+    rows = [(k * 31, f"some words of text {k} with 日本 and xqzj{k}\n  twice") for k in range(20)]
+    want = [(r, n, list(ids), *rest) for r, n, ids, *rest in segmentation._encode_rows(vocab, segmentation.Lattices(vocab), rows, 2)]
+    lat, got = segmentation.Lattices(vocab), []
+    for at in range(0, 20, 5):
+        lat.clear()
+        got += [(at + r, n, list(ids), *rest) for r, n, ids, *rest in segmentation._encode_rows(vocab, lat, rows[at : at + 5], 2)]
+    assert got == want and all(vocab.decode(x[2]) == rows[x[0]][1] for x in got)
+    for piece in vocab.edge:  # all beginnings of a piece are known, so no match is lost
+        run = np.zeros(1, np.uint64)
+        for k, point in enumerate(segmentation._points(piece)[:-1], 1):
+            run = run * np.uint64(segmentation._MULT) + point + np.uint64(1)
+            assert vocab.begins[k][segmentation.mix(run) >> np.uint64(46)].all()
+
+
 def test_segmentation_samples_without_replacement():
     vocab = segmentation.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     lat = segmentation.Lattices(vocab)
