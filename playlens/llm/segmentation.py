@@ -31,19 +31,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import mix
+from playlens.llm.common import doc_slices, mix, string_buffer
 
 SAMPLES = 2
 ZIPF_SHIFT = 2.7
 UNKNOWN_LOGP = -16.0  # per byte of a character without a piece
 _START = "▁"
 _LITERAL = "\udc81"  # stands for a literal U+2581 in a text; no valid text holds it
-_CACHE_WORDS = 200_000
-_CACHE_NODES = 4_000_000
-_BATCH_CHARS = 250_000
+_CACHE_WORDS = 150_000
+_CACHE_NODES = 2_000_000
+_BATCH_BYTES = 1_000_000
+_ADD_CHARS = 32_000  # words are added in groups of about so many characters, so work arrays stay small
 
 
-_NO_PIECES = (np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1), np.zeros(1 << 16, bool))
+_NO_PIECES = (np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1), np.zeros((1 << 16) + 1, np.int32))
 _MULT = 0x9E3779B97F4A7C15
 
 
@@ -77,7 +78,7 @@ class Vocabulary:
         total = sum(1 / (r + ZIPF_SHIFT) for r in range(len(plain)))
         for r, (_, i, piece) in enumerate(sorted(plain)):
             self.edge[piece] = (i, -math.log((r + ZIPF_SHIFT) * total))
-        # Per piece length: sorted hashes of the pieces' code points, their ids and priors.
+        # Per piece length: sorted hashes of the pieces' code points, their ids and priors, and where each value of the top 16 bits begins.
         self.by_length: dict[int, tuple] = {}
         # Per length: top bits of the hashes of that many first characters of a longer piece; a match ends where they end.
         self.begins: dict[int, np.ndarray] = {}
@@ -90,10 +91,9 @@ class Vocabulary:
                 hashes = hashes * np.uint64(_MULT) + points[:, k] + np.uint64(1)
             hashes = mix(hashes)
             order = np.argsort(hashes)
-            maybe = np.zeros(1 << 16, bool)  # top bits that some piece has: spares most searches
-            maybe[hashes >> np.uint64(48)] = True
+            begin = np.searchsorted(hashes[order] >> np.uint64(48), np.arange((1 << 16) + 1)).astype(np.int32)
             self.by_length[size] = (hashes[order], np.array([self.edge[p][0] for p in own], np.int64)[order],
-                                    np.array([self.edge[p][1] for p in own])[order], maybe)
+                                    np.array([self.edge[p][1] for p in own])[order], begin)
 
         # The bytes of all pieces after each other.
         self.spelled, self.widths = np.frombuffer(b"".join(self.bytes_of), np.uint8), np.array([len(x) for x in self.bytes_of])
@@ -140,15 +140,25 @@ class Lattices:
         self.root, self.nodes, self.size = {}, 0, 0
 
     def _room(self, nodes: int, edges: int) -> None:
-        """Arrays double when full; ``first`` has one entry past the last node."""
-        if nodes + 1 > len(self.first):
-            self.first = np.concatenate([self.first, np.zeros(nodes + 1, np.int64)])
-        if edges > len(self.code):
-            self.code, self.next, self.cdf, self.of, self.logp = (
-                np.concatenate([x, np.zeros(edges, x.dtype)]) for x in (self.code, self.next, self.cdf, self.of, self.logp))
+        """Arrays double when full, one after the other; what is not filled yet takes no memory.
+
+        ``first`` has one entry past the last node.
+        """
+        for need, names in ((nodes + 1, ("first",)), (edges, ("code", "next", "of", "cdf", "logp"))):
+            for name in names:
+                old = getattr(self, name)
+                if need > len(old):
+                    new = np.empty(max(need, 2 * len(old)), old.dtype)
+                    new[: len(old)] = old
+                    setattr(self, name, new)
 
     def add(self, words: list[str]) -> None:
         """Adds the lattices of new, distinct, non-empty words."""
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        for a, b in doc_slices(np.concatenate([[0], ends]), _ADD_CHARS):
+            self._add(words[a:b])
+
+    def _add(self, words: list[str]) -> None:
         points = _points("".join(words))
         size = np.fromiter(map(len, words), np.int64, len(words))
         end = np.repeat(np.cumsum(size), size)
@@ -167,20 +177,25 @@ class Lattices:
             mixed = mix(run)
             if length > 1 and length not in self.vocab.by_length:
                 continue
-            hashes, ids, logp, maybe = self.vocab.by_length.get(length, _NO_PIECES)
-            at, own = live, mixed
-            likely = maybe[own >> np.uint64(48)]
-            rest, at, own = at[~likely], at[likely], own[likely]
-            k = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
-            hit = hashes[k] == own
+            hashes, ids, logp, begin = self.vocab.by_length.get(length, _NO_PIECES)
+            found, top = np.full(len(live), -1), (mixed >> np.uint64(48)).astype(np.int64)
+            k, stop = begin[top], begin[top + 1]
+            look = np.flatnonzero(k < stop)
+            while len(look):  # the pieces with these top bits, mostly one
+                same = hashes[k[look]] == mixed[look]
+                found[look[same]] = k[look[same]]
+                look = look[~same]
+                k[look] += 1
+                look = look[k[look] < stop[look]]
+            hit = found >= 0
+            at, k = live[hit], found[hit]
             if length == 1:
-                bare = np.concatenate([rest, at[~hit]])  # characters without a piece go by their bytes
+                bare = live[~hit]  # characters without a piece go by their bytes
                 raw = points[bare].astype(np.int64)
                 width = 1 + (raw > 0x7F) + (raw > 0x7FF) + (raw > 0xFFFF)
                 table = np.array([self.vocab.byte_id.get(b, 0) for b in range(128)])
                 hits.append((bare, 1, np.where(raw < 128, table[np.minimum(raw, 127)], -1 - raw), UNKNOWN_LOGP * width))
                 count[bare] += 1
-            at, k = at[hit], k[hit]
             hits.append((at, length, ids[k], logp[k]))
             count[at] += 1
         first = np.cumsum(count) - count
@@ -396,10 +411,13 @@ def _words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
 def _encode_rows(vocab: Vocabulary, lat: Lattices, rows: list[tuple], k: int):
     """(row index, rank, ids, log-probability, perturbed value, log inclusion) of each row (key, text)."""
     words, which, first = _words([text for _, text in rows])
-    new = [w for w in words if w not in lat.root]
+    at = list(map(lat.root.get, words))
+    new = [i for i, node in enumerate(at) if node is None]
     if new:
-        lat.add(new)
-    flat = np.array([lat.root[w] for w in words], np.int64)[which]
+        lat.add([words[i] for i in new])
+        for i in new:
+            at[i] = lat.root[words[i]]
+    flat = np.array(at, np.int64)[which]
     spans, count = first.tolist(), np.diff(first)
     seeds = mix(np.array([key for key, _ in rows], np.int64).view(np.uint64)) if rows else np.zeros(0, np.uint64)
     place = np.arange(len(flat)) - np.repeat(first[:-1], count)
@@ -435,19 +453,16 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         vocab = _vocabulary(model_path)
         lat = Lattices(vocab)
         for batch in batches:
-            ids, keys, texts = (batch.column(c).to_pylist() for c in ("doc_id", "key", "text"))
-            at = 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= _BATCH_CHARS):
-                    size += len(texts[end])
-                    end += 1
+            _, offsets = string_buffer(batch.column("text"))
+            for at, end in doc_slices(offsets, _BATCH_BYTES):  # only these rows become Python values
+                part = batch.slice(at, end - at)
+                ids, keys, texts = (part.column(c).to_pylist() for c in ("doc_id", "key", "text"))
                 if len(lat.root) > _CACHE_WORDS or lat.nodes > _CACHE_NODES:
                     lat.clear()
                 cols: list[list] = [[] for _ in range(8)]
-                for r, rank, pieces, logp, value, inclusion in _encode_rows(vocab, lat, list(zip(keys[at:end], texts[at:end])), k):
-                    same = check and vocab.decode(pieces) == texts[at + r]
-                    for c, v in zip(cols, (ids[at + r], rank, len(pieces), logp, value, inclusion, pieces, same)):
+                for r, rank, pieces, logp, value, inclusion in _encode_rows(vocab, lat, list(zip(keys, texts)), k):
+                    same = check and vocab.decode(pieces) == texts[r]
+                    for c, v in zip(cols, (ids[r], rank, len(pieces), logp, value, inclusion, pieces, same)):
                         c.append(v)
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), None, pa.bool_()]
                 names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "pieces", "round_trip"]
@@ -455,7 +470,6 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 bounds = np.concatenate([[0], np.cumsum(cols[2])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(bounds, np.concatenate(cols[6]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) if t else lists for c, t in zip(cols[:keep], kinds)], names=names[:keep])
-                at = end
 
     schema = "doc_id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, pieces array<int>"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -396,6 +397,45 @@ def test_forgotten_lattices_do_not_change_samples_and_places_without_a_match_are
             assert vocab.begins[k][segmentation.mix(run) >> np.uint64(46)].all()
 
 
+def test_building_lattices_holds_little_more_than_the_lattices():
+    vocab = segmentation._vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(5)
+    words = list({"▁" + "".join(rng.choices("abdehinorstz", k=rng.randint(2, 14))) for _ in range(30_000)})
+    lat, alone = segmentation.Lattices(vocab), segmentation.Lattices(vocab)
+    tracemalloc.start()
+    lat.add(words)
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak - now < 25e6  # 99 MB when all words were worked on, and all arrays doubled, at once
+    for word in words[:300]:
+        alone.add([word])
+    names = ("code", "next", "of", "cdf", "logp")
+    assert all((getattr(lat, x)[: alone.size] == getattr(alone, x)[: alone.size]).all() for x in names)
+    assert (lat.first[: alone.nodes + 1] == alone.first[: alone.nodes + 1]).all()
+
+
+def test_every_piece_is_found_also_where_pieces_share_the_top_bits_of_their_hash():
+    vocab = segmentation._vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    assert any(np.diff(begin).max() > 1 for *_, begin in vocab.by_length.values())
+    lat = segmentation.Lattices(vocab)
+    lat.add(list(vocab.edge))
+    for piece, (i, _) in vocab.edge.items():
+        e = lat.first[lat.root[piece]]
+        assert lat.code[e] == i and lat.next[e] == -1
+
+
+def test_segmentation_of_batches_worked_on_in_parts(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    long = "some long words and 日本 again " * 40_000
+    assert len(long) > segmentation._BATCH_BYTES
+    texts = ["before", None, long, "", "right after", "last\n one"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = segmentation.encode(df, path, check=True).collect()
+    assert Counter(r.doc_id for r in got) == {0: 2, 1: 1, 2: 2, 3: 1, 4: 2, 5: 2} and all(r.round_trip for r in got)
+    single = {(r.doc_id, r["sample"]): r.pieces for k in (0, 4, 5) for r in segmentation.encode(df.where(f"doc_id = {k}"), path).collect()}
+    assert all(r.pieces == single[r.doc_id, r["sample"]] for r in got if r.doc_id in (0, 4, 5))
+
+
 def test_segmentation_samples_without_replacement():
     vocab = segmentation.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     lat = segmentation.Lattices(vocab)
