@@ -9,7 +9,8 @@ are sent that such a chunk can meet.
 Chunks that many words share (``HOT`` or more) would make their group's join quadratic. Their words are cut
 once more by the same rule: the half that holds the edit gives two chunks of its own, and the key is the
 common half with one of them. Every candidate is verified in the join itself, so only links leave it. A
-pair that both chunks find is taken from the front one.
+pair that both chunks find is taken from the front one. All sides grow with the vocabulary, and Spark takes the
+compressed file of words for the size of its exploded chunks, so no join here may broadcast one.
 
 Words are maximal runs of A-Z, a-z and U+00C0 to U+00FF, lower-cased (A-Z only). Occurrences can be altered
 on purpose: where ``EVERY`` divides the crc32 of ``<doc_id>:<run>``, one code point goes (``altered=True``).
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playlens.functions.broadcast import never_broadcast
 from playlens.llm.common import doc_slices, scratch, string_buffer
 from playlens.llm.tokens import byte_class, runs_of, strings
 
@@ -169,7 +171,7 @@ def links(words: DataFrame, hot: int = HOT) -> DataFrame:
     """(a, na, b, nb): each pair of words one edit apart once; ``words`` is (word, n) with distinct words."""
     chunks, grams = _chunks(words), _grams(words)
     key = ["size", "side", "chunk"]
-    crowded = scratch(chunks.groupBy(*key).agg(F.count("*").alias("c")).where(F.col("c") >= hot).drop("c"))
+    crowded = never_broadcast(scratch(chunks.groupBy(*key).agg(F.count("*").alias("c")).where(F.col("c") >= hot).drop("c")))
 
     def pairs(x: DataFrame, y: DataFrame, on: list[str], also=None) -> DataFrame:
         same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
@@ -177,7 +179,7 @@ def links(words: DataFrame, hot: int = HOT) -> DataFrame:
         x, y = x.alias("x"), y.alias("y")
         for c in same:
             keep = c & keep
-        return x.join(y, keep).select(F.col("x.word").alias("a"), F.col("x.n").alias("na"),
+        return x.join(never_broadcast(y), keep).select(F.col("x.word").alias("a"), F.col("x.n").alias("na"),
                                       F.col("y.word").alias("b"), F.col("y.n").alias("nb"))
 
     few = pairs(chunks.join(crowded, key, "left_anti"), grams, key)
@@ -199,7 +201,7 @@ def roots(forms: DataFrame, most: int) -> DataFrame:
     for _ in range(math.ceil(math.log2(steps + 1))):
         now = scratch(now)
         on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        now = now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"))
+        now = now.join(never_broadcast(on), "root", "left").select("word", F.coalesce("next", "root").alias("root"))
     return now
 
 
@@ -210,12 +212,12 @@ def variants(words: DataFrame, hot: int = HOT) -> DataFrame:
     near = found.unionByName(found.select(F.col("b").alias("a"), F.col("nb").alias("na"), F.col("a").alias("b"), F.col("na").alias("nb")))
     best = near.groupBy(F.col("a").alias("word")).agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("nb")).alias("m"), F.col("b").alias("w"))).alias("best"))
-    rows = scratch(words.join(best, "word", "left").select(
+    rows = scratch(words.join(never_broadcast(best), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(-F.col("best.m") >= FORM_RATIO * F.col("n"), F.struct(F.col("best.w").alias("w"), (-F.col("best.m")).alias("m"))).alias("f"),
     ).select("word", F.col("f.w").alias("form"), "n", "n_near", F.col("f.m").alias("form_n")))
     most = rows.agg(F.max("n")).first()[0] or 1
-    return rows.join(roots(rows.where("form is not null"), most), "word", "left").select(
+    return rows.join(never_broadcast(roots(rows.where("form is not null"), most)), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 

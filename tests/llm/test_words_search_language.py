@@ -111,6 +111,14 @@ def test_chain_of_forms_ends_at_its_root(spark):
     assert set(got.values()) == {"aaaaaaa" + "b" * 9}
 
 
+def test_no_join_of_words_is_a_broadcast(spark):
+    words = spelling.scratch(spark.createDataFrame([(w, 9) for w in set(noisy_words())], "word string, n long"))  # a small file
+    for df in (spelling.links(words, hot=3), spelling.variants(words, hot=3)):
+        assert df.count() > 0
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_run_crcs_match_zlib():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 123, 5000).astype(np.uint8)
