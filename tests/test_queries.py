@@ -71,3 +71,40 @@ def test_als_grid_rows(spark):
     train, val = _als_inputs(spark, SF_SMALL)
     grid = recommend.als_grid(train, val, ranks=(2, 4), regs=(0.1,), max_iter=2, k=50).collect()
     assert len(grid) == 2 and all(0 <= r["map"] <= 1 and r["n_users"] > 0 for r in grid)
+
+
+def test_als_metrics_are_those_of_the_lists(spark):
+    from playlens.operators import metrics, recommend
+
+    train = spark.createDataFrame([(u, t, 1 + (u * t) % 5) for u in range(40) for t in range(60) if (u * 7 + t * 3) % 4 == 0], "user_hashId int, track_hashId int, count long")
+    truth = spark.createDataFrame([(u, t) for u in range(5, 50) for t in range(u % 3, 70, 6)] + [(6, None), (None, 3), (39, None)], "user_hashId int, track_hashId int").distinct()
+    model = recommend.fit_als(train, rank=3, reg=0.1, max_iter=2)
+    want = metrics.list_metrics(recommend.als_lists(model, truth, 25), truth, "user_hashId", "track_hashId", "items").first()
+    assert recommend.als_metrics(model, truth, 25).first() == want and want.n_users == 35 and want["map"] > 0
+
+
+def test_als_fits_leave_one_setting_alone_on_many_ratings(spark, monkeypatch):
+    import threading
+
+    from playlens.operators import recommend
+
+    train = spark.createDataFrame([(u, t, 1) for u in range(30) for t in range(u % 4, 40, 4)], "user_hashId int, track_hashId int, count long")
+    running, most, lock, fit = [0], [0], threading.Lock(), recommend._fit_als
+
+    def counted(*args):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return fit(*args)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(recommend, "_fit_als", counted)
+    grids = []
+    for limit in (10**6, train.count()):
+        monkeypatch.setattr(recommend, "SIDE_BY_SIDE", limit)
+        most[0] = 0
+        grids.append((sorted(recommend.als_grid(train, train, (2,), (0.1, 1.0), 1, 10).collect()), most[0]))
+    assert grids[0][0] == grids[1][0] and grids[0][1] == 2 and grids[1][1] == 1

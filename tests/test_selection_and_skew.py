@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,3 +202,41 @@ def test_lists_have_a_row_per_user_and_score_like_their_long_form(spark):
         by_list = metrics.list_metrics(lists, truth, "user_id", "track_id", "items").first()
         assert by_list == metrics.ranking_metrics(recommend.listed(lists).withColumnRenamed("item_id", "track_id"), truth).first()
         assert by_list.n_users == 25 and by_list["map"] > 0
+
+
+def test_top_k_shuffles_no_item_per_user_block_and_writes_no_list(spark):
+    """One cartesian pass: more blocks of users do not send the items again, and no list is on disk before the result is read."""
+    rng = np.random.default_rng(8)
+    users, items = factor_frame(spark, rng.normal(size=(400, 4))), factor_frame(spark, rng.normal(size=(3000, 4)))
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
+    lists = recommend.top_k_lists(users, items, 500, 10, 700)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "Exchange" not in plan
+    new = [os.path.join(d, f) for n in set(os.listdir(folder)) - before for d, _, fs in os.walk(os.path.join(folder, n)) for f in fs]
+    assert sum(map(os.path.getsize, new)) < 400 * 500 * 4
+    assert lists.count() == 400 and lists.where("size(items) = 500").count() == 400
+
+
+def test_packed_rows_keep_order_types_and_values():
+    x = pa.array([[float(i), -float(i)] for i in range(25)], pa.list_(pa.float32()))
+    table = pa.table({"id": pa.array(range(25), pa.int32()), "features": x})
+    for rows, want in ((10, [10, 10, 5]), (None, [25]), (5, [5] * 5)):
+        parts = [recommend._read_ipc(b.column(0)[0].as_buffer()) for b in recommend._pack(rows)(iter(table.to_batches(max_chunksize=7)))]
+        assert [p.num_rows for p in parts] == want and pa.concat_tables(parts).equals(table.combine_chunks())
+    assert list(recommend._pack(3)(iter([]))) == []
+
+
+def test_lists_do_not_depend_on_how_items_pass_by():
+    rng = np.random.default_rng(9)
+    u, v, ids = rng.normal(size=(300, 5)), np.repeat(rng.normal(size=(400, 5)), 3, axis=0), rng.permutation(1200)
+    v[50] = np.nan
+    tables = [pa.table({"id": pa.array(i), "features": pa.array(list(x), pa.list_(pa.float64()))}) for i, x in ((np.arange(300), u), (ids, v))]
+    keep = ids != ids[50]
+    _, want, _, _ = recommend.stream_top_k(u, v[keep], ids[keep], 20, 64)
+    for step in (1200, 333, 15):  # in no order of norms, and fewer at once than k
+        lists = recommend._UserLists(tables[0], 20, 4096)
+        for i in range(0, 1200, step):
+            lists.add(tables[1].slice(i, step))
+        got = list(lists.rows())
+        assert [i for i, _, _ in got] == list(range(300)) and np.concatenate([x for _, x, _ in got]).tolist() == want.tolist()
